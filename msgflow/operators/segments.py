@@ -40,14 +40,18 @@ def with_segments(
     """
     if span <= 0:
         raise ValueError("span must be positive")
-    if len(order) == 1 and isinstance(
-        df.schema[order[0]].dataType, (T.LongType, T.IntegerType, T.ShortType)
-    ):
+    if _offset_like(df, order):
         return df.withColumn(SEGMENT, F.expr(f"`{order[0]}` div {span}L"))
     ranged = df.repartitionByRange(*by, *order)
     return materialize(ranged.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")))
 
 
+def _offset_like(df: DataFrame, order: Sequence[str]) -> bool:
+    return len(order) == 1 and isinstance(
+        df.schema[order[0]].dataType, (T.LongType, T.IntegerType, T.ShortType)
+    )
+
+
 def in_segment(by: Sequence[str], order: Sequence[str] = ("offset",)) -> WindowSpec:
     """Window over one segment, in log order."""
     return Window.partitionBy(*by, SEGMENT).orderBy(*order)
@@ -74,6 +78,16 @@ def with_position(
     order: Sequence[str] = ("offset",), span: int = DEFAULT_SPAN, name: str = "position",
 ) -> DataFrame:
     """0-based rank of each row in its key: rows in earlier segments + rank inside its own."""
+    if not _offset_like(df, order):
+        # Only the identity is cut into ranges and materialised; payloads join it.
+        identity = list(dict.fromkeys([*by, *order]))
+        return df.join(_positions(df.select(*identity), by, order, span, name), identity)
+    return _positions(df, by, order, span, name)
+
+
+def _positions(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], span: int, name: str
+) -> DataFrame:
     segmented = with_segments(df, order, span, by)
     base = segment_rows(segmented.select(*by, SEGMENT), by).drop("_rows")
     rank = F.row_number().over(in_segment(by, order)).cast("bigint")

@@ -12,7 +12,7 @@ from msgflow.schema import PRODUCED_SCHEMA, check_columns
 
 # Fixed value: a write counts only when every replica has it.
 PRODUCER_DEFAULTS = {"kafka.acks": "all"}
-BATCH_FOLDER = "_batch"
+BATCH_FOLDER = "micro_batch"
 
 
 def sink_options(config: TopicConfig) -> dict[str, str]:

@@ -9,10 +9,11 @@ own, so replays do not change results.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Optional, Union
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +35,6 @@ from msgflow.operators.segments import DEFAULT_SPAN
 from msgflow.operators.strategies import (
     CircuitBreaker,
     ErrorStrategy,
-    FailFast,
     Skip,
     apply_strategy,
     merge_routes,
@@ -79,15 +79,19 @@ class RunFolders:
         return f"{self.root}/state/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def read_table(spark: SparkSession, path: str) -> Optional[DataFrame]:
+    """A table of files, None when nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_state(spark: SparkSession, path: str, batch_id: int) -> Optional[DataFrame]:
     """State written by micro-batch ``batch_id``; None before the first one."""
-    folder = f"{path}/{BATCH_FOLDER}={batch_id}"
-    return spark.read.parquet(folder) if batch_id >= 0 and _exists(spark, folder) else None
+    return read_table(spark, f"{path}/{BATCH_FOLDER}={batch_id}")
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -160,7 +164,7 @@ class StreamRun:
         strategy: CircuitBreaker = self.strategy
         after = breaker_state(outcomes, strategy.policy, span=strategy.span, initial=before)
         if before is not None:
-            idle = before.drop(BATCH_FOLDER).join(after.select(*LOG_KEY), LOG_KEY, "left_anti")
+            idle = before.join(after.select(*LOG_KEY), LOG_KEY, "left_anti")
             after = after.unionByName(idle)
         write_rows(after, path, batch_id)
         return strategy.apply(outcomes, initial=before)
@@ -169,21 +173,15 @@ class StreamRun:
         self._batches(batch, batch_id, last=False)
 
     def _flush(self) -> None:
+        """Deliver the open batches as they are, as one more micro-batch."""
         spark = self.source.sparkSession
-        last = self._last_batch_id()
+        numbers = read_table(spark, self.folders.state("numbers"))
+        if numbers is None:
+            return
+        last = numbers.agg(F.max(BATCH_FOLDER)).first()[0]
         held = read_state(spark, self.folders.state("held"), last)
-        if held is not None and not held.isEmpty():
-            self._batches(held.drop(BATCH_FOLDER).limit(0), last + 1, last=True)
-
-    def _last_batch_id(self) -> int:
-        spark, path = self.source.sparkSession, self.folders.state("numbers")
-        if not _exists(spark, path):
-            return -1
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        statuses = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
-        names = [s.getPath().getName() for s in statuses]
-        prefix = f"{BATCH_FOLDER}="
-        return max((int(n[len(prefix):]) for n in names if n.startswith(prefix)), default=-1)
+        if not held.isEmpty():
+            self._batches(held.limit(0), last + 1, last=True)
 
     def _batches(self, batch: DataFrame, batch_id: int, last: bool) -> None:
         """Close the batches that are full or timed out; hold the open one of each key.
@@ -194,7 +192,7 @@ class StreamRun:
         spark = batch.sparkSession
         held = read_state(spark, self.folders.state("held"), batch_id - 1)
         numbers = read_state(spark, self.folders.state("numbers"), batch_id - 1)
-        rows = batch if held is None else batch.unionByName(held.drop(BATCH_FOLDER))
+        rows = batch if held is None else batch.unionByName(held)
         assigned = assign_batches(rows, self.batch_policy, span=self.span).persist()
         try:
             sizes = assigned.groupBy(*LOG_KEY, BATCH_ID).agg(F.count(F.lit(1)).alias("_size"))
@@ -214,7 +212,6 @@ class StreamRun:
             closed = placed.filter(~in_open).drop("_open", "_closed")
             counts = ends.select(*LOG_KEY, F.col("_closed").alias("batches"))
             if numbers is not None:
-                numbers = numbers.drop(BATCH_FOLDER)
                 counts = (
                     counts.unionByName(numbers).groupBy(*LOG_KEY)
                     .agg(F.sum("batches").alias("batches"))
@@ -256,9 +253,10 @@ class StreamRun:
             fatal = F.col("route") == STOP
             if "fatal" in written.columns:
                 fatal = fatal | F.col("fatal")
-            stopped = written.filter(fatal).select("stop_error").take(1)
+            text = F.col("stop_error" if "stop_error" in written.columns else "error")
+            stopped = written.filter(fatal).select(text.alias("text")).take(1)
             if stopped:
-                raise FatalOutcome(stopped[0].stop_error or "error strategy said stop")
+                raise FatalOutcome(f"error strategy: {stopped[0].text}")
 
 
 def run_stream(
