@@ -177,4 +177,6 @@ def headers_from_entries(entries: Column) -> Column:
         text,
         lambda e, i: F.array_position(F.slice(keys, i + 2, F.size(keys)), e["key"]) == 0,
     )
-    return F.map_from_entries(last)
+    # Repeated keys are rare: look for the last of each only where there are any.
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.map_from_entries(F.when(repeated, last).otherwise(text))

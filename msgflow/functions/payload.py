@@ -26,7 +26,7 @@ def encode_payload(payload: Column, encoding: PayloadEncoding | str) -> Column:
     """Payload as text: UTF-8 (bad bytes replaced) or unwrapped base64."""
     if PayloadEncoding.of(encoding) is PayloadEncoding.BASE64:
         # Spark wraps base64 at 76 characters; the envelope wants one line.
-        return F.translate(F.base64(payload), "\r\n", "")
+        return F.replace(F.base64(payload), F.lit("\r\n"), F.lit(""))
     return F.make_valid_utf8(payload.cast("string"))
 
 

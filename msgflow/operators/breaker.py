@@ -257,7 +257,8 @@ def circuit_breaker(
         rows = rows.sort_by(sort_keys)
         b = Breaker(**start.column("_before")[0].as_py())
         states, counts, wins, actions = [b.state], [], [], []
-        for ok, now in zip(rows.column("ok").to_pylist(), micros(rows.column("_us")).tolist()):
+        oks = rows.column("ok").to_numpy().tolist()
+        for ok, now in zip(oks, micros(rows.column("_us")).tolist()):
             b, action = breaker_step(b, ok, now, policy)
             states.append(b.state)
             counts.append(b.failures)
@@ -306,7 +307,7 @@ def _inherited_breakers(df, policy, by, order, span, initial):
     def summarise(table: pa.Table) -> pa.Table:
         table = table.sort_by(sort_keys)
         ends = _segment_ends(
-            table.column("ok").to_numpy(zero_copy_only=False).astype(bool),
+            table.column("ok").to_numpy().astype(bool),
             micros(table.column("_us")), policy,
         )
         keys = {c: a[0].as_py() for c, a in key_arrays(table, by).items()}

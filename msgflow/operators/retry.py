@@ -12,7 +12,7 @@ from msgflow.config import RetryPolicy
 from msgflow.functions.backoff import backoff_delay, retry_at, retry_moment
 from msgflow.functions.headers import dlq_headers, retry_attempt, retry_headers, retry_time
 from msgflow.functions.payload import dlq_envelope
-from msgflow.operators.handler import Handler, apply_handler
+from msgflow.operators.handler import ColumnHandler, Handler, apply_handler
 from msgflow.session import materialize
 
 # The routes of an outcome.
@@ -119,26 +119,25 @@ def run_with_retries(
     A failed row uses up one attempt per round, so without negative attempt headers
     there are at most ``max_attempts`` rounds; rows still to be retried after
     ``max_rounds`` are returned as ``pending``. Each round works on the remaining
-    failures only and is materialised, so lineage stays short and the handler runs
-    once per row and round. A row's time moves by the backoff.
+    failures only, which are materialised, so lineage stays short. For a Python
+    handler its outcomes are materialised: it runs once per row and round. A row's
+    time moves by the backoff.
     """
     message_columns = list(df.columns)
     pending, history, round_no = df, None, 0
     while True:
         outcomes = apply_handler(pending, handler).withColumn("round", F.lit(round_no))
         attempt = next_attempt(F.col("headers"), policy.prefix)
-        routed = materialize(
-            outcomes.withColumn("attempt", attempt).withColumn(
-                "route",
-                F.when(F.col("ok"), COMMIT)
-                .when(F.col("attempt") >= policy.max_attempts, DLQ)
-                .otherwise(RETRY),
-            )
+        routed = outcomes.withColumn("attempt", attempt).withColumn(
+            "route",
+            F.when(F.col("ok"), COMMIT)
+            .when(F.col("attempt") >= policy.max_attempts, DLQ)
+            .otherwise(RETRY),
         )
+        if not isinstance(handler, ColumnHandler):
+            routed = materialize(routed)
         history = routed if history is None else history.unionByName(routed)
         again = routed.filter(F.col("route") == RETRY)
-        if round_no + 1 == max_rounds or again.isEmpty():
-            break
         delay = backoff_delay(F.col("attempt"), policy)
         pending = again.withColumn(
             "headers",
@@ -147,11 +146,15 @@ def run_with_retries(
                 F.col("error"), F.col("timestamp"), policy.prefix, policy.origin, _next_step(again),
             ),
         ).withColumn("timestamp", retry_moment(F.col("timestamp"), delay)).select(*message_columns)
+        if isinstance(handler, ColumnHandler):
+            pending = materialize(pending)
+        if round_no + 1 == max_rounds or pending.isEmpty():
+            break
         round_no += 1
     return RetryResult(
         history.filter(F.col("route") == COMMIT),
         history.filter(F.col("route") == DLQ),
-        again,
+        pending,
         history,
         round_no + 1,
     )

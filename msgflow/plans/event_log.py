@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow.functions.headers import ORIGINAL_TOPIC, RETRY_ATTEMPT, RETRY_TIME, format_time
@@ -15,12 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _entry(condition: Column, key: str, value: Column) -> Column:
-    return F.when(
-        condition, F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
-    )
-
-
 def event_messages(events: DataFrame) -> DataFrame:
     """``events`` as a message log.
 
@@ -29,19 +23,19 @@ def event_messages(events: DataFrame) -> DataFrame:
     """
     case = F.col("event_id") % 5
     due = F.col("ts").cast("timestamp") + F.make_interval(mins=(F.col("event_id") % 120).cast("int"))
-    hopped = case.isin(1, 2)
     attempt = (
         F.when(case == 1, "1").when(case == 2, "2").when(case == 3, "abc").when(case == 4, "7")
     )
-    headers = F.map_from_entries(
-        F.array_compact(
-            F.array(
-                _entry(F.lit(True), "event-type", F.col("event_type")),
-                _entry(case > 0, PREFIX + RETRY_ATTEMPT, attempt),
-                _entry(hopped, PREFIX + ORIGINAL_TOPIC, F.lit("events.src")),
-                _entry(hopped, PREFIX + RETRY_TIME, format_time(due)),
-            )
-        )
+    kind = [F.lit("event-type"), F.col("event_type")]
+    tried = [F.lit(PREFIX + RETRY_ATTEMPT), attempt]
+    hopped = [
+        F.lit(PREFIX + ORIGINAL_TOPIC), F.lit("events.src"),
+        F.lit(PREFIX + RETRY_TIME), format_time(due),
+    ]
+    headers = (
+        F.when(case.isin(1, 2), F.create_map(*kind, *tried, *hopped))
+        .when(case > 0, F.create_map(*kind, *tried))
+        .otherwise(F.create_map(*kind))
     )
     return events.select(
         F.lit("events").alias("topic"),

@@ -17,6 +17,7 @@ from msgflow.operators.handler import (
     capture_panic,
     column_handler,
     split_outcomes,
+    spread,
 )
 from msgflow.operators.segments import pick_span
 from msgflow.plans.event_log import document_log, event_log, table
@@ -248,7 +249,7 @@ def _describe(message: Message):
     || event_type || ' ' || coalesce(h_topic, 'None') AS error FROM log""",
 )
 def message_metadata(spark, sf_dir):
-    return apply_handler(event_log(spark, sf_dir), _describe).select(
+    return apply_handler(spread(event_log(spark, sf_dir)), _describe).select(
         "partition", "offset", "ok", "error"
     )
 
@@ -644,7 +645,7 @@ def missing_messages(spark, sf_dir):
     "failure_lineage",
     f"""WITH {LOG_SQL} SELECT topic AS source_topic, part AS source_partition, off AS source_offset,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS source_ts, hex(payload) AS source_payload_hex,
-    '2' AS attempt_header, unnest(CASE WHEN off % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy
+    '2' AS attempt_header, CAST(CASE WHEN off % 10 = 0 THEN 2 ELSE 1 END AS BIGINT) AS copies
     FROM log WHERE NOT ok AND off % 97 <> 0""",
 )
 def failure_lineage(spark, sf_dir):
@@ -662,16 +663,12 @@ def failure_lineage(spark, sf_dir):
     # Between two hops lies the retry topic: a written table, not one long expression.
     second, _ = retry.retry(materialize(hop), policy)
     lineage = audit.failure_lineage(second, log)
-    copies = F.row_number().over(
-        batching.Window.partitionBy("source_topic", "source_partition", "source_offset").orderBy(F.lit(1))
-    )
-    return lineage.select(
+    return lineage.groupBy(
         "source_topic", "source_partition", "source_offset",
         time_text("source_timestamp").alias("source_ts"),
         F.hex("source_payload").alias("source_payload_hex"),
         H.header(F.col("headers"), H.RETRY_ATTEMPT).alias("attempt_header"),
-        copies.alias("copy"),
-    )
+    ).agg(F.count(F.lit(1)).alias("copies"))
 
 
 # -- batches, strategies, breaker ----------------------------------------------------
@@ -1002,7 +999,8 @@ UTF8_PANIC = (
     SELECT {PART_OFF}, error IS NULL AS ok, error FROM e""",
 )
 def udf_handler(spark, sf_dir):
-    return apply_handler(event_log(spark, sf_dir), PayloadHandler(_check_payload)).select(
+    log = spread(event_log(spark, sf_dir).select("topic", "partition", "offset", "payload"))
+    return apply_handler(log, PayloadHandler(_check_payload)).select(
         "partition", "offset", "ok", "error"
     )
 
@@ -1048,7 +1046,8 @@ def _stepwise(message: Message):
     FROM log WHERE NOT ok AND attempts + 1 < 3""",
 )
 def retry_step_handler(spark, sf_dir):
-    failed = apply_handler(with_step_header(event_log(spark, sf_dir)), _stepwise).filter(~F.col("ok"))
+    log = with_step_header(spread(event_log(spark, sf_dir)))
+    failed = apply_handler(log, _stepwise).filter(~F.col("ok"))
     retries, _ = retry.retry(failed, POLICY)
     h = F.col("headers")
     return retries.select(

@@ -35,6 +35,7 @@ from msgflow.operators.segments import DEFAULT_SPAN
 from msgflow.operators.strategies import (
     CircuitBreaker,
     ErrorStrategy,
+    Retry,
     Skip,
     apply_strategy,
     merge_routes,
@@ -249,7 +250,7 @@ class StreamRun:
         write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
         written = read_state(routed.sparkSession, self.folders.outcomes, batch_id)
         write_rows(commit_positions(merge_routes(written)), self.folders.commits, batch_id)
-        if self.on_fatal == "stop":
+        if self.on_fatal == "stop" and not isinstance(self.strategy, (Skip, Retry)):
             fatal = F.col("route") == STOP
             if "fatal" in written.columns:
                 fatal = fatal | F.col("fatal")
