@@ -67,11 +67,19 @@ class HandlerFailure(Exception):
 
 @dataclass(frozen=True)
 class ColumnHandler:
-    """Handler as Catalyst expressions: ``error`` is NULL for a success."""
+    """Handler as Catalyst expressions: fails with ``text`` where ``failed`` holds."""
 
-    error: Column
+    failed: Column
+    text: Column
     next_step: Optional[Column] = None
 
+    def error(self) -> Column:
+        return F.when(self.failed, F.coalesce(self.text, F.lit("")))
+
+    def ok(self) -> Column:
+        # In this form a filter on failures is pushed down into the scan.
+        return self.failed.isNull() | ~self.failed
+
 
 @dataclass(frozen=True)
 class PayloadHandler:
@@ -85,10 +93,10 @@ BatchHandler = Callable[[list], Any]
 
 
 def column_handler(
-    failed: Column, error: Column, next_step: Optional[Column] = None
+    failed: Column, text: Column, next_step: Optional[Column] = None
 ) -> ColumnHandler:
-    """Handler that fails with ``error`` where ``failed`` holds (NULL counts as success)."""
-    return ColumnHandler(F.when(failed, F.coalesce(error, F.lit(""))), next_step)
+    """Handler that fails with ``text`` where ``failed`` holds (NULL counts as success)."""
+    return ColumnHandler(failed, text, next_step)
 
 
 def _call_each(call: Callable[[Any], Any], arguments: Iterable) -> pa.Array:
@@ -182,8 +190,8 @@ def apply_handler(df: DataFrame, handler: Handler) -> DataFrame:
     if isinstance(handler, ColumnHandler):
         step = F.lit(None) if handler.next_step is None else handler.next_step
         return (
-            df.withColumn("error", handler.error)
-            .withColumn("ok", F.col("error").isNull())
+            df.withColumn("error", handler.error())
+            .withColumn("ok", handler.ok())
             .withColumn("next_step", step.cast("int"))
         )
     payload_only = isinstance(handler, PayloadHandler)

@@ -20,7 +20,7 @@ from msgflow.operators.handler import (
     spread,
 )
 from msgflow.operators.segments import pick_span
-from msgflow.plans.event_log import document_log, event_log, table
+from msgflow.plans.event_log import document_log, event_log, event_messages, table
 from msgflow.plans.registry import (
     BATCHES_SQL,
     BREAKER_SQL,
@@ -693,7 +693,8 @@ def batch_by_count(spark, sf_dir):
 )
 def batch_by_count_dense(spark, sf_dir):
     # One partition whose offsets have no gaps: batches follow from the offset alone.
-    log = event_log(spark, sf_dir).withColumn("partition", F.lit(0))
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") * 0)
+    log = event_messages(events)
     return batching.batch_by_count(log, 100, dense=True).select("offset", "batch_id")
 
 
