@@ -112,15 +112,15 @@ def _inherit_batch(carry, row: dict, size: int, timeout_us: int):
     if held == 0:
         entry = 0
     else:
-        late = int(np.searchsorted(np.asarray(head), first_us + timeout_us, side="left"))
+        late = int(np.searchsorted(head.to_numpy(), first_us + timeout_us, side="left"))
         entry = min(size - held, late if late < len(head) else n, n)
     inherited = {"_entry": entry, "_batches": batches}
     if entry >= n:
         return inherited, (batches, held + n, first_us)
     return inherited, (
-        batches + row["_started"][entry],
-        row["_tail_rows"][entry],
-        row["_tail_us"][entry],
+        batches + row["_started"][entry].as_py(),
+        row["_tail_rows"][entry].as_py(),
+        row["_tail_us"][entry].as_py(),
     )
 
 

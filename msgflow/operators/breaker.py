@@ -198,22 +198,21 @@ def _inherit_breaker(b: Breaker, row: dict, policy: BreakerPolicy) -> Breaker:
     n = row["_rows"]
     if b.state == CLOSED:
         if b.failures + row["_lead_fails"] >= policy.threshold:
-            return Breaker(**row["_trips"][policy.threshold - b.failures - 1])
+            return Breaker(**row["_trips"][policy.threshold - b.failures - 1].as_py())
         if row["_lead_fails"] == n:
             return Breaker(CLOSED, b.failures + n)
         return Breaker(**row["_resets"])
     if b.state == HALF_OPEN:
         if b.successes + row["_lead_oks"] >= policy.half_open_attempts:
-            return Breaker(**row["_closes"][policy.half_open_attempts - b.successes - 1])
+            return Breaker(**row["_closes"][policy.half_open_attempts - b.successes - 1].as_py())
         if row["_lead_oks"] == n:
             return b._replace(successes=b.successes + n)
         return Breaker(**row["_reopens"])
-    at = int(
-        np.searchsorted(np.asarray(row["_probe_us"]), b.last + policy.cooldown_ms * 1000, "left")
-    )
-    if at >= len(row["_probe_us"]):
+    probe_us = row["_probe_us"].to_numpy()
+    at = int(np.searchsorted(probe_us, b.last + policy.cooldown_ms * 1000, "left"))
+    if at >= len(probe_us):
         return b
-    after = Breaker(**row["_probes"][at])
+    after = Breaker(**row["_probes"][at].as_py())
     return after._replace(failures=b.failures) if after.failures < 0 else after
 
 

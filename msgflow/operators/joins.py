@@ -18,15 +18,17 @@ SALTS = 64
 
 def checked_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS, computed: bool = False,
 ) -> DataFrame:
     """Join ``big`` to a ``small`` frame that has one row per key (positions, cuts).
 
     ``small`` is computed once and counted. Up to ``broadcast_rows`` rows it is
     broadcast and ``big`` is not shuffled; beyond that the join is salted.
-    Pass fixed-width, narrow frames only: the row count is the size check.
+    Pass fixed-width, narrow frames only: the row count is the size check. A frame
+    that is a table already (``computed``) is not written again.
     """
-    small = materialize(small)
+    if not computed:
+        small = materialize(small)
     if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, hot_rows=hot_rows)

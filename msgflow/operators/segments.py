@@ -35,14 +35,16 @@ def with_segments(
 
     One integral order column that is unique per key gives ranges of ``span``
     values, decided row by row. Any other order is split by Spark's range
-    partitioner on (by, order), whose sampled bounds also cut a hot key; the
-    frame is materialised once so that every later step sees the same cut.
+    partitioner on (by, order) into ranges of about ``span`` rows, whose sampled
+    bounds also cut a hot key; the frame is materialised once so that every later
+    step sees the same cut.
     """
     if span <= 0:
         raise ValueError("span must be positive")
     if _offset_like(df, order):
         return df.withColumn(SEGMENT, F.expr(f"`{order[0]}` div {span}L"))
-    ranged = df.repartitionByRange(*by, *order)
+    ranges = -(-df.count() // span) or 1
+    ranged = df.repartitionByRange(ranges, *by, *order)
     return materialize(ranged.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")))
 
 
@@ -120,10 +122,11 @@ def fold_summaries(
     advance: Callable[[object, dict], tuple[dict, object]],
     out_schema: T.StructType,
 ) -> DataFrame:
-    """Run over each key's segment summaries in order, one summary in memory at a time.
+    """Run over each key's segment summaries in order, with one carry per key.
 
     ``initial(first summary)`` starts a key; ``advance(carry, summary)`` returns
-    what the segment inherits and the carry after it.
+    what the segment inherits and the carry after it. Arrays of a summary stay
+    Arrow arrays: a fold looks up a few of their entries.
     """
     by = list(by)
     fields = [f for f in out_schema.fieldNames() if f not in (*by, SEGMENT)]
@@ -133,7 +136,7 @@ def fold_summaries(
         key, carry = None, None
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in _summary_rows(batch):
                 row_key = tuple(row[c] for c in by)
                 if row_key != key:
                     key, carry = row_key, initial(row)
@@ -154,6 +157,15 @@ def fold_summaries(
     )
 
 
+def _summary_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    lists = {f.name for f in batch.schema if pa.types.is_list(f.type)}
+    for i in range(batch.num_rows):
+        yield {
+            name: batch.column(name)[i].values if name in lists else batch.column(name)[i].as_py()
+            for name in batch.schema.names
+        }
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

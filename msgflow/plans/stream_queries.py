@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.config import BatchPolicy, StreamPolicy
+from msgflow.config import StreamPolicy
 from msgflow.functions import headers as H
 from msgflow.operators import strategies
 from msgflow.operators.handler import column_handler
-from msgflow.operators.offsets import commit_positions
 from msgflow.operators.segments import pick_span
 from msgflow.plans.event_log import event_log
 from msgflow.plans.queries import (
@@ -25,9 +24,9 @@ from msgflow.plans.queries import (
     native_handler,
 )
 from msgflow.plans.registry import BATCHES_SQL, BREAKER_SQL, LOG_SQL, query
-from msgflow.session import run_dir
+from msgflow.session import materialize, run_dir
 from msgflow.sources.topics import stream_log
-from msgflow.streaming.runner import RunFolders, StreamRun, read_results, read_table, run_stream
+from msgflow.streaming.runner import RunFolders, StreamRun, read_results, run_stream
 from msgflow.streaming.stateful import ROCKSDB, hold_until_due
 
 SLICES = 4
@@ -159,9 +158,8 @@ def commit_after_success(spark, sf_dir):
                 break
         commits = read_results(spark, RunFolders(folder).commits)
         positions = commits.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
-        rows = [(stage, r.partition, r.next_offset) for r in positions.collect()]
         stages.append(
-            spark.createDataFrame(rows, "stage string, partition int, next_offset bigint")
+            materialize(positions.select(F.lit(stage).alias("stage"), "partition", "next_offset"))
         )
     return stages[0].unionByName(stages[1])
 

@@ -29,6 +29,7 @@ from msgflow.config import (
 from msgflow.operators.batching import BATCH_ID, assign_batches
 from msgflow.operators.breaker import breaker_state
 from msgflow.operators.handler import BatchHandler, Handler, apply_batch_handler, apply_handler
+from msgflow.operators.joins import checked_join
 from msgflow.operators.offsets import commit_positions
 from msgflow.operators.retry import STOP
 from msgflow.operators.segments import DEFAULT_SPAN
@@ -41,6 +42,7 @@ from msgflow.operators.strategies import (
     merge_routes,
 )
 from msgflow.schema import LOG_KEY
+from msgflow.session import materialize
 from msgflow.sources.sinks import BATCH_FOLDER, write_dlq, write_retry, write_rows
 
 Target = Union[str, TopicConfig]
@@ -204,25 +206,31 @@ class StreamRun:
                 F.when(is_open, F.col(f"_end.{BATCH_ID}")).alias("_open"),
                 (F.col(f"_end.{BATCH_ID}") + F.when(is_open, 0).otherwise(1)).alias("_closed"),
             )
-            placed = assigned.join(ends, LOG_KEY)
+            if numbers is not None:
+                ends = ends.join(numbers, LOG_KEY, "full")
+            else:
+                ends = ends.withColumn("batches", F.lit(0).cast("bigint"))
+            before = F.coalesce("batches", F.lit(0))
+            ends = materialize(
+                ends.select(
+                    *LOG_KEY, "_open", before.alias("_before"),
+                    (before + F.coalesce("_closed", F.lit(0))).alias("batches"),
+                )
+            )
+            write_rows(
+                ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id
+            )
+            placed = checked_join(assigned, ends.drop("batches"), LOG_KEY, computed=True)
             in_open = F.col("_open").isNotNull() & (F.col(BATCH_ID) == F.col("_open"))
             write_rows(
-                placed.filter(in_open).drop("_open", "_closed", BATCH_ID),
+                placed.filter(in_open).drop("_open", "_before", BATCH_ID),
                 self.folders.state("held"), batch_id,
             )
-            closed = placed.filter(~in_open).drop("_open", "_closed")
-            counts = ends.select(*LOG_KEY, F.col("_closed").alias("batches"))
-            if numbers is not None:
-                counts = (
-                    counts.unionByName(numbers).groupBy(*LOG_KEY)
-                    .agg(F.sum("batches").alias("batches"))
-                )
-                closed = (
-                    closed.join(numbers, LOG_KEY, "left")
-                    .withColumn(BATCH_ID, F.col(BATCH_ID) + F.coalesce("batches", F.lit(0)))
-                    .drop("batches")
-                )
-            write_rows(counts, self.folders.state("numbers"), batch_id)
+            closed = (
+                placed.filter(~in_open)
+                .withColumn(BATCH_ID, F.col(BATCH_ID) + F.col("_before"))
+                .drop("_open", "_before")
+            )
             outcomes = apply_batch_handler(closed, self.batch_handler).persist()
             try:
                 self._deliver(apply_strategy(outcomes, self.strategy), batch_id)
