@@ -148,6 +148,11 @@ def _messages(
         yield Message(t, p, o, us, keys, values, body)
 
 
+def _once(run: Callable[..., pa.Array]) -> Callable[..., Column]:
+    """Arrow UDF the optimizer must not copy: a filter on ``ok`` would else run it again."""
+    return F.arrow_udf(run, OUTCOME_TYPE).asNondeterministic()
+
+
 def _python_outcome(handler: PayloadHandler | Callable[[Message], Any]) -> Column:
     """Arrow UDF: only the columns the handler reads travel to Python."""
     if isinstance(handler, PayloadHandler):
@@ -156,7 +161,7 @@ def _python_outcome(handler: PayloadHandler | Callable[[Message], Any]) -> Colum
         def run_payload(payload: pa.Array) -> pa.Array:
             return _call_each(call, _values(payload))
 
-        return F.arrow_udf(run_payload, OUTCOME_TYPE)("payload")
+        return _once(run_payload)("payload")
 
     def run(
         topic: pa.Array, partition: pa.Array, offset: pa.Array, timestamp: pa.Array,
@@ -166,7 +171,7 @@ def _python_outcome(handler: PayloadHandler | Callable[[Message], Any]) -> Colum
             handler, _messages(topic, partition, offset, timestamp, headers, payload)
         )
 
-    return F.arrow_udf(run, OUTCOME_TYPE)(*(F.col(c) for c in MESSAGE_SCHEMA.fieldNames()))
+    return _once(run)(*(F.col(c) for c in MESSAGE_SCHEMA.fieldNames()))
 
 
 def spread(df: DataFrame, by: Sequence[str] = IDENTITY) -> DataFrame:
@@ -254,7 +259,7 @@ def apply_batch_handler(
 
     return (
         batched.groupBy(*by, BATCH_ID).agg(rows.alias("_rows"))
-        .withColumn("_outcome", F.arrow_udf(run, OUTCOME_TYPE)(payloads))
+        .withColumn("_outcome", _once(run)(payloads))
         .select(*by, BATCH_ID, "_outcome", F.explode("_rows").alias("_row"))
         .select(
             *by, BATCH_ID,

@@ -85,6 +85,21 @@ def test_payload_handler(make):
     assert [r.ok for r in rows.collect()] == [True, True, False]
 
 
+def test_filters_do_not_run_a_handler_twice(make):
+    from msgflow.operators.handler import apply_batch_handler
+    from msgflow.operators.batching import batch_by_count
+
+    frames = [
+        apply_handler(spread(make([{}] * 20).coalesce(1)), lambda m: "x"),
+        apply_handler(make([{}]), PayloadHandler(lambda p: "x")),
+        apply_batch_handler(batch_by_count(make([{}]), 3), lambda p: "x"),
+    ]
+    for df in frames:
+        good, bad = split_outcomes(df)
+        for side in (good, bad, R.retry(bad, POLICY)[0]):
+            assert side._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_handler_must_be_callable(make):
     with pytest.raises(ValueError, match="handler cannot be nil"):
         apply_handler(make([{}]), None)

@@ -92,7 +92,7 @@ def test_raise_mode_writes_nothing_for_the_batch(spark, sliced):
     assert commits.agg(F.max("next_offset")).first()[0] == 10
 
 
-@pytest.mark.parametrize("size, timeout_ms", [(4, 6_000), (7, 1_000_000), (2, 1)])
+@pytest.mark.parametrize("size, timeout_ms", [(4, 6_000), (7, 1_000_000)])
 def test_stream_batches_equal_batches_of_the_log(spark, sliced, size, timeout_ms):
     source, messages = sliced
     folder = run_dir(spark, "run")
