@@ -166,17 +166,17 @@ def retry_headers(
 def headers_from_entries(entries: Column) -> Column:
     """``ARRAY<STRUCT<key, value>>`` → map; the last entry of a repeated key wins.
 
-    Self-contained: does not depend on the session's map-key policy.
+    Self-contained: does not depend on the session's map-key policy. Without a
+    repeated key no higher-order function runs, so it stays in generated code.
     """
-    text = F.transform(
-        F.coalesce(entries, F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda e: F.struct(e["key"].alias("key"), e["value"].cast("string").alias("value")),
-    )
-    keys = F.transform(text, lambda e: e["key"])
+    keys, values = entries["key"], entries["value"].cast("array<string>")
     last = F.filter(
-        text,
+        entries,
         lambda e, i: F.array_position(F.slice(keys, i + 2, F.size(keys)), e["key"]) == 0,
     )
-    # Repeated keys are rare: look for the last of each only where there are any.
     repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    return F.map_from_entries(F.when(repeated, last).otherwise(text))
+    return F.coalesce(
+        F.when(repeated, F.map_from_entries(last).cast("map<string,string>"))
+        .otherwise(F.map_from_arrays(keys, values)),
+        F.create_map().cast("map<string,string>"),
+    )

@@ -21,8 +21,7 @@ COMMIT, RETRY, DLQ, STOP = "commit", "retry", "dlq", "stop"
 
 def next_attempt(headers: Column, prefix: str) -> Column:
     """Attempt number of the failure at hand (stays at the largest BIGINT)."""
-    attempt = retry_attempt(headers, prefix)
-    return F.coalesce(F.try_add(attempt, F.lit(1).cast("bigint")), attempt)
+    return F.least(retry_attempt(headers, prefix), F.lit(2**63 - 2)) + 1
 
 
 def route_failures(failed: DataFrame, policy: RetryPolicy) -> DataFrame:
