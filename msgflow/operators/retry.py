@@ -94,8 +94,7 @@ def retry(
 
 def retry_due(df: DataFrame, as_of: Column, prefix: str = "mq.") -> DataFrame:
     """Rows whose retry time has come; no or an unreadable time counts as due."""
-    due = retry_time(F.col("headers"), prefix)
-    return df.filter(due.isNull() | (due <= as_of))
+    return df.filter(F.coalesce(retry_time(F.col("headers"), prefix) <= as_of, F.lit(True)))
 
 
 @dataclass
