@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check
+from msgflow.plans import catalogue
 from msgflow.plans.stream_queries import __name__ as STREAMS
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalogue.QUERIES, catalogue.ORACLE
 STREAMING = {n for n, q in QUERIES.items() if q.__module__ == STREAMS}
 BATCH = [n for n in QUERIES if n not in STREAMING]
 
