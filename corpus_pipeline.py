@@ -9,9 +9,15 @@ from msgflow.llm.chunk_recipes import drop_exact_copies
 from msgflow.llm.mixing import mix
 from msgflow.llm.odd_sketch import drop_near_copies
 from msgflow.llm.queries import vocabulary
+from msgflow.llm.toxicity import drop_toxic
 from msgflow.session import run_dir
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for A-Z case, the row with the largest doc_id stays."""
     return drop_exact_copies(docs)
@@ -33,6 +39,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", clean),
     ("exact dedup", exact_copies),
     ("near dedup", near_copies),
     ("mixing", mixture),

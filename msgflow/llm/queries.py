@@ -9,6 +9,7 @@ from msgflow.llm.chunk_recipes import exact_groups
 from msgflow.llm.mixing import mix_report
 from msgflow.llm.odd_sketch import near_groups
 from msgflow.llm.registry import ORACLE, QUERIES, query
+from msgflow.llm.toxicity import toxicity_report
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -74,6 +75,11 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir))
 
 
+@query("op8_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query("op10_mixing", sql=r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) AS BIGINT) AS size,
