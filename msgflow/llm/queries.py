@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from msgflow.llm.ball_tree import top_k
 from msgflow.llm.bpe import encode_digests
 from msgflow.llm.chunk_recipes import exact_groups
+from msgflow.llm.license_templates import license_report
 from msgflow.llm.mixing import mix_report
 from msgflow.llm.odd_sketch import near_groups
 from msgflow.llm.registry import ORACLE, QUERIES, query
+from msgflow.llm.secret_scan import secret_spans
+from msgflow.llm.token_counts import section_tokens
 from msgflow.llm.toxicity import toxicity_report
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -62,6 +67,11 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir), vocabulary())
 
 
+@query("op3_licenses")
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir))
+
+
 @query("op5_exact_dedup", sql="""
 WITH texts AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
@@ -75,11 +85,42 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir))
 
 
+@query("op6_top_k", sql="""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+""")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op7_secrets")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir))
+
+
 @query("op8_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query("op9_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return section_tokens(table(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op10_mixing", sql=r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) AS BIGINT) AS size,
