@@ -13,6 +13,7 @@ from msgflow.llm.mixing import mix_report
 from msgflow.llm.odd_sketch import near_groups
 from msgflow.llm.registry import ORACLE, QUERIES, query
 from msgflow.llm.secret_scan import secret_spans
+from msgflow.llm.suffix_repeats import repeated_bytes
 from msgflow.llm.token_counts import section_tokens
 from msgflow.llm.toxicity import toxicity_report
 
@@ -72,6 +73,11 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir))
 
 
+@query("op4_suffix_repeats")
+def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir))
+
+
 @query("op5_exact_dedup", sql="""
 WITH texts AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
