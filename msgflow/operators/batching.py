@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,19 @@ from msgflow.operators.joins import checked_join
 from msgflow.operators.segments import (
     DEFAULT_SPAN,
     SEGMENT,
+    TAG,
+    as_start,
     chain_ends,
     first_reaching,
     fold_summaries,
+    give_back,
+    identity_of,
     key_arrays,
     key_fields,
     micros,
+    moment_us,
+    settled,
+    tagged,
     with_position,
     with_segments,
 )
@@ -68,7 +75,7 @@ def _follow(times: np.ndarray, size: int, timeout_us: int) -> np.ndarray:
     """For a batch that starts at row i: the row that starts the next batch (n = none)."""
     n = len(times)
     here = np.arange(n, dtype=np.int64)
-    late = first_reaching(times, here + 1, times + timeout_us)
+    late = first_reaching(times, here + 1, as_start(times) + timeout_us)
     return np.minimum(np.minimum(here + size, late), n)
 
 
@@ -101,7 +108,7 @@ def _summarise_batches(table: pa.Table, by: Sequence[str], size: int, timeout_us
         "_head": pa.array([np.maximum.accumulate(times[:entries])]),
         "_started": pa.array([started[:entries]]),
         "_tail_rows": pa.array([n - last[:entries]]),
-        "_tail_us": pa.array([times[last[:entries]]]),
+        "_tail_us": pa.array([as_start(times)[last[:entries]]]),
     }
 
 
@@ -143,17 +150,20 @@ def assign_batches(
     Timed out means ``timestamp - first row's timestamp >= timeout``. Greedy
     batching depends on all earlier rows, so it runs as a segment fold: only key,
     order and time columns go through Python; payloads join the result by identity.
+    Every row is in one batch, rows delivered twice as often as they come. A row
+    without a time sorts before those with one and never times a batch out.
     """
     by = list(by)
     order = order_for(by)
     size, timeout_us = policy.size, policy.timeout_ms * 1000
     check_columns(df, [*by, *order, "timestamp"], "assign_batches")
-    slim_columns = list(dict.fromkeys([*by, *order, "timestamp"]))
-    segmented = with_segments(df.select(*slim_columns), order, span, by)
-    slim = segmented.withColumn("_us", F.unix_micros("timestamp"))
+    rows = tagged(settled(df))
+    slim_columns = list(dict.fromkeys([*by, *order, "timestamp", TAG]))
+    segmented = with_segments(rows.select(*slim_columns), order, span, by)
+    slim = segmented.withColumn("_us", moment_us())
     keys = [*by, SEGMENT]
-    sort_keys = [(c, "ascending") for c in order]
-    identity = list(dict.fromkeys([*by, *order]))
+    sort_keys = [(c if c != "timestamp" else "_us", "ascending") for c in [*order, TAG]]
+    identity = identity_of(by, order)
 
     summary_schema = T.StructType(
         [
@@ -189,18 +199,18 @@ def assign_batches(
         + [T.StructField(BATCH_ID, T.LongType())]
     )
 
-    def number(rows: pa.Table, start: pa.Table) -> pa.Table:
-        rows = rows.sort_by(sort_keys)
+    def number(log: pa.Table, start: pa.Table) -> pa.Table:
+        log = log.sort_by(sort_keys)
         ids = _number_batches(
-            micros(rows.column("_us")), start.column("_entry")[0].as_py(),
+            micros(log.column("_us")), start.column("_entry")[0].as_py(),
             start.column("_batches")[0].as_py(), size, timeout_us,
         )
-        return pa.table({**{c: rows.column(c) for c in identity}, BATCH_ID: ids})
+        return pa.table({**{c: log.column(c) for c in identity}, BATCH_ID: ids})
 
     numbered = (
         slim.groupBy(*keys).cogroup(inherited.groupBy(*keys)).applyInArrow(number, numbered_schema)
     )
-    return df.join(numbered, identity)
+    return give_back(rows, numbered, identity)
 
 
 def tail_batch(batched: DataFrame, size: int, by: Sequence[str] = LOG_KEY) -> DataFrame:
@@ -242,7 +252,3 @@ def atomic_batch_outcome(batched: DataFrame, by: Sequence[str] = LOG_KEY) -> Dat
         .drop("_first")
     )
 
-
-def batch_of(column: Column, size: int) -> Column:
-    """Batch number of a 0-based position."""
-    return F.floor(column / F.lit(size)).cast("bigint")

@@ -15,15 +15,24 @@ from msgflow.config import BreakerPolicy
 from msgflow.operators.batching import order_for
 from msgflow.operators.segments import (
     DEFAULT_SPAN,
+    NEVER,
+    NO_TIME,
     SEGMENT,
+    TAG,
+    as_start,
     chain_ends,
     earlier_segments,
     first_reaching,
     fold_summaries,
+    give_back,
+    identity_of,
     in_segment,
     key_arrays,
     key_fields,
     micros,
+    moment_us,
+    settled,
+    tagged,
     with_segments,
 )
 from msgflow.schema import LOG_KEY, check_columns
@@ -49,13 +58,18 @@ class Breaker(NamedTuple):
 
 
 def breaker_step(b: Breaker, ok: bool, now: int, policy: BreakerPolicy) -> tuple[Breaker, str]:
-    """The state after one outcome, and the action taken."""
+    """The state after one outcome, and the action taken.
+
+    ``now`` is ``NO_TIME`` for a row without a time: it ends no cooldown, and the
+    cooldown of a breaker that opened at such a row does not end.
+    """
+    opened_at = NEVER if now <= NO_TIME else now
     if b.state == CLOSED:
         if ok:
             return Breaker(), "ok"
         failures = b.failures + 1
         if failures >= policy.threshold:
-            return Breaker(OPEN, failures, 0, now), "tripped"
+            return Breaker(OPEN, failures, 0, opened_at), "tripped"
         return Breaker(CLOSED, failures), "continue"
     if b.state == OPEN:
         if ok:
@@ -64,7 +78,7 @@ def breaker_step(b: Breaker, ok: bool, now: int, policy: BreakerPolicy) -> tuple
             return Breaker(HALF_OPEN, b.failures), "probe"
         return b, "rejected"
     if not ok:
-        return Breaker(OPEN, 0, 0, now), "reopened"
+        return Breaker(OPEN, 0, 0, opened_at), "reopened"
     if b.successes + 1 >= policy.half_open_attempts:
         return Breaker(), "closed"
     return b._replace(successes=b.successes + 1), "ok"
@@ -80,14 +94,15 @@ def failure_runs(
     """
     by, order = list(by), order_for(by)
     check_columns(df, [*by, *order, "ok"], "failure_runs")
-    here = in_segment(by, order)
+    # Repeated deliveries of a position are put in one order wherever they are ranked.
+    here = in_segment(by, [*order, "ok"])
     running = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def placed(frame: DataFrame) -> DataFrame:
         ranked = frame.withColumn("_rank", F.row_number().over(here).cast("bigint"))
         return ranked.withColumn("_ok_at", F.max(F.when(F.col("ok"), F.col("_rank"))).over(running))
 
-    segmented = with_segments(df, order, span, by)
+    segmented = with_segments(settled(df), order, span, by)
     slim = placed(segmented.select(*dict.fromkeys([*by, *order, "ok", SEGMENT])))
     summary = slim.groupBy(*by, SEGMENT).agg(
         F.max("_rank").alias("_rows"), F.max("_ok_at").alias("_last_ok")
@@ -142,7 +157,7 @@ def _segment_ends(ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy) -> dict
     # Opened at i: the first later failure past the cooldown is the probe.
     fail_us = us[fails]
     after = np.searchsorted(fails, rows[:n], side="right")
-    probe = np.append(fails, n)[first_reaching(fail_us, after, us + policy.cooldown_ms * 1000)]
+    probe = np.append(fails, n)[first_reaching(fail_us, after, as_start(us) + policy.cooldown_ms * 1000)]
 
     closed, half_t, half_r, open_t, open_r = (k * width for k in range(5))
     jump = np.arange(5 * width, dtype=np.int64)
@@ -167,7 +182,7 @@ def _segment_ends(ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy) -> dict
             kept = -1 if int(end[node]) == entered else (threshold if last == 1 else 0)
             b = Breaker(HALF_OPEN, kept, n - row)
         else:
-            b = Breaker(OPEN, threshold if last == 3 else 0, 0, int(us[row]))
+            b = Breaker(OPEN, threshold if last == 3 else 0, 0, int(as_start(us[row])))
         return b._asdict()
 
     lead_fails, lead_oks = int(next_ok[0]), int(next_fail[0])
@@ -234,13 +249,15 @@ def circuit_breaker(
 
     Adds ``state_before, state_after, failure_count, success_count, action,
     fatal``. ``initial`` holds a breaker per key to go on from (``breaker_state``
-    of an earlier frame); other keys start closed.
+    of an earlier frame); other keys start closed. Every row of ``df`` is returned
+    once, rows delivered twice as often as they come.
     """
     by, order = list(by), order_for(by)
     check_columns(df, [*by, *order, "timestamp", "ok"], "circuit_breaker")
-    inherited, slim = _inherited_breakers(df, policy, by, order, span, initial)
-    keys, identity = [*by, SEGMENT], list(dict.fromkeys([*by, *order]))
-    sort_keys = [(c, "ascending") for c in order]
+    rows = tagged(settled(df))
+    inherited, slim = _inherited_breakers(rows, policy, by, order, span, initial)
+    keys, identity = [*by, SEGMENT], identity_of(by, order)
+    sort_keys = _log_order(order)
     result_schema = T.StructType(
         [T.StructField(c, slim.schema[c].dataType) for c in identity]
         + [
@@ -252,12 +269,12 @@ def circuit_breaker(
         ]
     )
 
-    def replay(rows: pa.Table, start: pa.Table) -> pa.Table:
-        rows = rows.sort_by(sort_keys)
+    def replay(log: pa.Table, start: pa.Table) -> pa.Table:
+        log = log.sort_by(sort_keys)
         b = Breaker(**start.column("_before")[0].as_py())
         states, counts, wins, actions = [b.state], [], [], []
-        oks = rows.column("ok").to_numpy().tolist()
-        for ok, now in zip(oks, micros(rows.column("_us")).tolist()):
+        oks = log.column("ok").to_numpy().tolist()
+        for ok, now in zip(oks, micros(log.column("_us")).tolist()):
             b, action = breaker_step(b, ok, now, policy)
             states.append(b.state)
             counts.append(b.failures)
@@ -265,7 +282,7 @@ def circuit_breaker(
             actions.append(action)
         return pa.table(
             {
-                **{c: rows.column(c) for c in identity},
+                **{c: log.column(c) for c in identity},
                 "state_before": states[:-1],
                 "state_after": states[1:],
                 "failure_count": pa.array(counts, pa.int64()),
@@ -276,15 +293,19 @@ def circuit_breaker(
 
     log = slim.groupBy(*keys).cogroup(inherited.groupBy(*keys)).applyInArrow(replay, result_schema)
     fatal = ["tripped", "rejected"] + ([] if policy.retry else ["reopened"])
-    return df.join(log, identity).withColumn("fatal", F.col("action").isin(fatal))
+    return give_back(rows, log, identity).withColumn("fatal", F.col("action").isin(fatal))
+
+
+def _log_order(order: Sequence[str]) -> list[tuple[str, str]]:
+    return [(c if c != "timestamp" else "_us", "ascending") for c in [*order, TAG]]
 
 
 def _inherited_breakers(df, policy, by, order, span, initial):
     """Per segment: the breaker before it and after it."""
-    slim_columns = list(dict.fromkeys([*by, *order, "timestamp", "ok"]))
+    slim_columns = list(dict.fromkeys([*by, *order, "timestamp", "ok", TAG]))
     segmented = with_segments(df.select(*slim_columns), order, span, by)
-    slim = segmented.withColumn("_us", F.unix_micros("timestamp"))
-    sort_keys = [(c, "ascending") for c in order]
+    slim = segmented.withColumn("_us", moment_us())
+    sort_keys = _log_order(order)
     summary_schema = T.StructType(
         [
             *key_fields(slim, by),
@@ -344,7 +365,7 @@ def breaker_state(
 ) -> DataFrame:
     """The breaker of each key after all its rows: ``state, failures, successes, last``."""
     by, order = list(by), order_for(by)
-    inherited, _ = _inherited_breakers(df, policy, by, order, span, initial)
+    inherited, _ = _inherited_breakers(tagged(settled(df)), policy, by, order, span, initial)
     return (
         inherited.groupBy(*by)
         .agg(F.max_by("_after", SEGMENT).alias("_b"))

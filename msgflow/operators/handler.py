@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from msgflow.functions.headers import DEFAULT_PREFIX, RETRY_STEP
 from msgflow.operators.batching import BATCH_ID, order_for
+from msgflow.operators.segments import settled
 from msgflow.schema import IDENTITY, LOG_KEY, MESSAGE_SCHEMA, check_columns
 
 # Fixed value: how a captured exception is reported.
@@ -225,7 +226,8 @@ def capture_panic(df: DataFrame, panics: Column, text: Column) -> DataFrame:
 
 
 def split_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(succeeded, failed). Persist ``outcomes`` first when its handler is expensive."""
+    """(succeeded, failed). Outcomes of a Python handler are written once, so it runs once per row."""
+    outcomes = settled(outcomes)
     return outcomes.filter(F.col("ok")), outcomes.filter(~F.col("ok"))
 
 

@@ -114,8 +114,8 @@ def run_with_retries(
 ) -> RetryResult:
     """Handle, route failures, handle the retry rows again, until none is left.
 
-    A failed row uses up one attempt per round, so without negative attempt headers
-    there are at most ``max_attempts`` rounds; rows still to be retried after
+    A failed row uses up one attempt per round and negative attempt headers count as
+    0, so there are at most ``max_attempts`` rounds; rows still to be retried after
     ``max_rounds`` are returned as ``pending``. Each round works on the remaining
     failures only, which are materialised, so lineage stays short. For a Python
     handler its outcomes are materialised: it runs once per row and round. A row's
@@ -125,7 +125,8 @@ def run_with_retries(
     pending, history, round_no = df, None, 0
     while True:
         outcomes = apply_handler(pending, handler).withColumn("round", F.lit(round_no))
-        attempt = next_attempt(F.col("headers"), policy.prefix)
+        # A negative attempt header counts as none here: it would add rounds without end.
+        attempt = F.greatest(next_attempt(F.col("headers"), policy.prefix), F.lit(1))
         routed = outcomes.withColumn("attempt", attempt).withColumn(
             "route",
             F.when(F.col("ok"), COMMIT)

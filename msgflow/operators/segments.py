@@ -25,6 +25,57 @@ from msgflow.session import materialize
 
 DEFAULT_SPAN = 1 << 20
 SEGMENT = "_segment"
+TAG = "_tag"
+#: Microseconds of a row without a time: before all times as a moment, after them as a start.
+#: So such a row sorts first among times, and a gap to or from it is never long enough.
+NO_TIME, NEVER = -(1 << 60), 1 << 60
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself, or a table of it when its plan may give other rows the next time.
+
+    A Python handler runs once per row this way, however often an operator reads its outcomes.
+    """
+    plan = df._jdf.queryExecution().withCachedData()
+    return df if plan.deterministic() or df.isStreaming else materialize(df)
+
+
+def tagged(df: DataFrame) -> DataFrame:
+    """Add ``_tag``, a hash of the whole row: it tells apart rows of one position that differ."""
+
+    def comparable(c: str) -> Column:
+        is_map = isinstance(df.schema[c].dataType, T.MapType)
+        return F.array_sort(F.map_entries(c)) if is_map else F.col(c)
+
+    return df.withColumn(TAG, F.xxhash64(*[comparable(c) for c in df.columns]))
+
+
+def identity_of(by: Sequence[str], order: Sequence[str]) -> list[str]:
+    """Columns that place a row, without those that may be null, and its tag."""
+    return [*(c for c in dict.fromkeys([*by, *order]) if c != "timestamp"), TAG]
+
+
+def give_back(df: DataFrame, results: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """The rows of tagged ``df`` with what ``results`` (one row for each of them) adds.
+
+    Rows that share the whole identity are copies of each other, so any of them can lend its
+    columns: one does, and every result row takes it. No row is lost or multiplied. The window
+    uses the join's own partitioning and order.
+    """
+    here = Window.partitionBy(*identity).orderBy(F.lit(1))
+    one = df.withColumn("_copy", F.row_number().over(here)).filter("_copy = 1").drop("_copy")
+    added = [c for c in results.columns if c not in df.columns]
+    return results.join(one, list(identity)).select(*[c for c in df.columns if c != TAG], *added)
+
+
+def moment_us(column: str = "timestamp") -> Column:
+    """Microseconds of a time column, ``NO_TIME`` where it is null."""
+    return F.coalesce(F.unix_micros(column), F.lit(NO_TIME))
+
+
+def as_start(us: np.ndarray) -> np.ndarray:
+    """Times as the start of a wait: without a time the wait does not end."""
+    return np.where(us <= NO_TIME, NEVER, us)
 
 
 def with_segments(
@@ -82,8 +133,10 @@ def with_position(
     """0-based rank of each row in its key: rows in earlier segments + rank inside its own."""
     if not _offset_like(df, order):
         # Only the identity is cut into ranges and materialised; payloads join it.
-        identity = list(dict.fromkeys([*by, *order]))
-        return df.join(_positions(df.select(*identity), by, order, span, name), identity)
+        rows = tagged(settled(df))
+        slim = rows.select(*dict.fromkeys([*by, *order, TAG]))
+        placed = _positions(slim, by, [*order, TAG], span, name).drop("timestamp")
+        return give_back(rows, placed, identity_of(by, order))
     return _positions(df, by, order, span, name)
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from msgflow.config import BreakerPolicy, RetryPolicy
 from msgflow.operators.breaker import circuit_breaker
 from msgflow.operators.joins import checked_join
+from msgflow.operators.offsets import skip_ranges
 from msgflow.operators.retry import COMMIT, DLQ, RETRY, STOP, next_attempt, retry
-from msgflow.operators.segments import DEFAULT_SPAN
+from msgflow.operators.segments import DEFAULT_SPAN, settled
 from msgflow.schema import LOG_KEY
+from msgflow.session import materialize
 
 # Texts of fatal results.
 FAIL_FAST_TEXT = "fail-fast: handler error on topic=%s partition=%d offset=%d: %s"
@@ -58,9 +60,12 @@ def fail_fast(outcomes: DataFrame, mode: str = "cut") -> DataFrame:
         )
     if mode != "cut":
         raise ValueError("mode must be 'cut' or 'raise'")
-    first = outcomes.filter(~F.col("ok")).groupBy(*LOG_KEY).agg(F.min("offset").alias("_stop"))
+    outcomes = settled(outcomes)
+    first = materialize(
+        outcomes.filter(~F.col("ok")).groupBy(*LOG_KEY).agg(F.min("offset").alias("_stop"))
+    )
     return (
-        checked_join(outcomes, first, LOG_KEY)
+        checked_join(skip_ranges(outcomes, first, "_stop", after=True), first, LOG_KEY, computed=True)
         .filter(F.col("_stop").isNull() | (F.col("offset") <= F.col("_stop")))
         .withColumn("route", F.when(F.col("ok"), COMMIT).otherwise(STOP))
         .withColumn("stop_error", F.when(~F.col("ok"), message))
@@ -166,9 +171,12 @@ def error_log(outcomes: DataFrame, strategy_name: str) -> DataFrame:
     )
 
 
-def merge_routes(routed: DataFrame) -> DataFrame:
-    """Rows whose position may be committed: handled, or accepted by the strategy."""
+def accepted_rows(routed: DataFrame) -> Column:
+    """Whether a row was handled, or accepted by the strategy."""
     accepted = F.col("route") != STOP
-    if "fatal" in routed.columns:
-        accepted = accepted & ~F.col("fatal")
-    return routed.filter(accepted)
+    return accepted & ~F.col("fatal") if "fatal" in routed.columns else accepted
+
+
+def merge_routes(routed: DataFrame) -> DataFrame:
+    """Rows whose position may be committed."""
+    return routed.filter(accepted_rows(routed))

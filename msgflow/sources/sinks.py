@@ -7,17 +7,30 @@ from typing import Optional
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.config import TopicConfig
+from msgflow.config import TopicConfig, check_kafka_options
 from msgflow.schema import PRODUCED_SCHEMA, check_columns
 
 # Fixed value: a write counts only when every replica has it.
 PRODUCER_DEFAULTS = {"kafka.acks": "all"}
 BATCH_FOLDER = "micro_batch"
+# Client settings that only a consumer has.
+READER_ONLY = (
+    "auto.offset.reset", "fetch.min.bytes", "fetch.max.bytes", "max.poll.records",
+    "session.timeout.ms", "heartbeat.interval.ms", "max.poll.interval.ms", "isolation.level",
+)
 
 
 def sink_options(config: TopicConfig) -> dict[str, str]:
-    """Writer options of Spark's Kafka sink; the topic is a column of the rows."""
-    return {"kafka.bootstrap.servers": ",".join(config.brokers), **PRODUCER_DEFAULTS}
+    """Writer options of Spark's Kafka sink; the topic is a column of the rows.
+
+    The user's connection settings (security and the like) go to the sink as to the source;
+    those of reading do not.
+    """
+    user = {k: v for k, v in check_kafka_options(config.kafka_options).items() if k not in READER_ONLY}
+    return {
+        "kafka.bootstrap.servers": ",".join(config.brokers), **PRODUCER_DEFAULTS,
+        **{f"kafka.{k}": v for k, v in user.items()},
+    }
 
 
 def kafka_rows(df: DataFrame) -> DataFrame:

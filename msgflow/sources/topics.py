@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,17 +21,38 @@ DEFAULT_START = "earliest"
 START_OPTION = "auto.offset.reset"
 
 
-def connector_options(config: TopicConfig, start: Optional[str] = None) -> dict[str, str]:
+# Options of Spark's source itself, which take no prefix.
+READER_OPTIONS = (
+    "minPartitions", "maxRecordsPerPartition", "failOnDataLoss", "endingOffsets", "startingTimestamp",
+    "endingTimestamp", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "fetchOffset.numRetries",
+)
+
+
+def starting_offsets(positions: DataFrame, topic: str) -> str:
+    """Committed positions of a topic as the source's ``startingOffsets`` (one row per partition)."""
+    rows = positions.filter(F.col("topic") == topic).groupBy("partition").agg(F.max("next_offset").alias("at"))
+    return json.dumps({topic: {str(r["partition"]): r["at"] for r in rows.orderBy("partition").collect()}})
+
+
+def connector_options(
+    config: TopicConfig, start: Optional[str] = None, reader: Optional[Mapping[str, str]] = None,
+) -> dict[str, str]:
     """Reader options of Spark's Kafka source for ``config``.
 
     User options pass through with the ``kafka.`` prefix and may replace the
     defaults; managed keys were refused when the config was built. A user's
-    ``auto.offset.reset`` becomes ``startingOffsets``, which Spark owns.
+    ``auto.offset.reset`` becomes ``startingOffsets``, which Spark owns; ``start``
+    may also be a JSON of positions (``starting_offsets``). ``reader`` holds options
+    of the source itself, such as ``minPartitions`` to split large partitions.
     """
+    reader = dict(reader or {})
+    unknown = [k for k in reader if k not in READER_OPTIONS]
+    if unknown:
+        raise ValueError(f"not options of the source: {', '.join(unknown)}")
     user = check_kafka_options(config.kafka_options)
     begin = start or user.pop(START_OPTION, DEFAULT_START)
     user.pop(START_OPTION, None)
-    if begin not in ("earliest", "latest"):
+    if begin not in ("earliest", "latest") and not begin.startswith("{"):
         raise ValueError("start must be 'earliest' or 'latest'")
     return {
         "kafka.bootstrap.servers": ",".join(config.brokers),
@@ -39,15 +61,17 @@ def connector_options(config: TopicConfig, start: Optional[str] = None) -> dict[
         "includeHeaders": "true",
         "startingOffsets": begin,
         **{f"kafka.{k}": v for k, v in {**CONNECTOR_DEFAULTS, **user}.items()},
+        **reader,
     }
 
 
 def read_topic(
     spark: SparkSession, config: TopicConfig, start: Optional[str] = None,
     streaming: bool = False, max_per_trigger: Optional[int] = None,
+    reader_options: Optional[Mapping[str, str]] = None,
 ) -> DataFrame:
     """A topic as a message frame. Needs Spark's Kafka connector on the class path."""
-    options = connector_options(config, start)
+    options = connector_options(config, start, reader_options)
     if streaming and max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if not streaming and options["startingOffsets"] == "latest":

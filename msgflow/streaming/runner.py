@@ -30,7 +30,7 @@ from msgflow.operators.batching import BATCH_ID, assign_batches
 from msgflow.operators.breaker import breaker_state
 from msgflow.operators.handler import BatchHandler, Handler, apply_batch_handler, apply_handler
 from msgflow.operators.joins import checked_join
-from msgflow.operators.offsets import commit_positions
+from msgflow.operators.offsets import commit_before_stop
 from msgflow.operators.retry import STOP
 from msgflow.operators.segments import DEFAULT_SPAN
 from msgflow.operators.strategies import (
@@ -38,8 +38,8 @@ from msgflow.operators.strategies import (
     ErrorStrategy,
     Retry,
     Skip,
+    accepted_rows,
     apply_strategy,
-    merge_routes,
 )
 from msgflow.schema import LOG_KEY
 from msgflow.session import materialize
@@ -93,8 +93,15 @@ def read_table(spark: SparkSession, path: str) -> Optional[DataFrame]:
 
 
 def read_state(spark: SparkSession, path: str, batch_id: int) -> Optional[DataFrame]:
-    """State written by micro-batch ``batch_id``; None before the first one."""
-    return read_table(spark, f"{path}/{BATCH_FOLDER}={batch_id}")
+    """State written by micro-batch ``batch_id``; None before the first one.
+
+    State that a later micro-batch should find but does not is an error: going on
+    from nothing would reset breakers and batch numbers without a word.
+    """
+    state = read_table(spark, f"{path}/{BATCH_FOLDER}={batch_id}")
+    if state is None and batch_id >= 0:
+        raise RuntimeError(f"the state of micro-batch {batch_id} is missing in {path}")
+    return state
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -145,8 +152,17 @@ class StreamRun:
 
     def stop(self) -> bool:
         """Stop within the shutdown deadline; False when it passed first."""
-        self.query.stop()
-        return bool(self.query.awaitTermination(self.stream_policy.shutdown_timeout_ms / 1000))
+        conf, name = self.source.sparkSession.conf, "spark.sql.streaming.stopTimeout"
+        before = conf.get(name, None)
+        conf.set(name, f"{self.stream_policy.shutdown_timeout_ms}ms")
+        try:
+            self.query.stop()
+        except Exception as late:  # noqa: BLE001  (a Java TimeoutException, by class name)
+            if "Timeout" not in str(late):
+                raise
+        finally:
+            conf.unset(name) if before is None else conf.set(name, before)
+        return not self.query.isActive
 
     # -- one micro-batch -----------------------------------------------------
 
@@ -157,7 +173,11 @@ class StreamRun:
                 routed = self._breaker(outcomes, batch_id)
             else:
                 routed = apply_strategy(outcomes, self.strategy)
-            self._deliver(routed, batch_id)
+            routed = routed.persist()  # every sink reads it
+            try:
+                self._deliver(routed, batch_id)
+            finally:
+                routed.unpersist()
         finally:
             outcomes.unpersist()
 
@@ -176,7 +196,10 @@ class StreamRun:
         self._batches(batch, batch_id, last=False)
 
     def _flush(self) -> None:
-        """Deliver the open batches as they are, as one more micro-batch."""
+        """Deliver the open batches as they are, and leave none to the next micro-batch.
+
+        Results go to an id of their own, below 0, which Spark gives to no micro-batch.
+        """
         spark = self.source.sparkSession
         numbers = read_table(spark, self.folders.state("numbers"))
         if numbers is None:
@@ -217,15 +240,16 @@ class StreamRun:
                     (before + F.coalesce("_closed", F.lit(0))).alias("batches"),
                 )
             )
-            write_rows(
-                ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id
-            )
             placed = checked_join(assigned, ends.drop("batches"), LOG_KEY, computed=True)
             in_open = F.col("_open").isNotNull() & (F.col(BATCH_ID) == F.col("_open"))
-            write_rows(
-                placed.filter(in_open).drop("_open", "_before", BATCH_ID),
-                self.folders.state("held"), batch_id,
-            )
+            if not last:
+                write_rows(
+                    ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id
+                )
+                write_rows(
+                    placed.filter(in_open).drop("_open", "_before", BATCH_ID),
+                    self.folders.state("held"), batch_id,
+                )
             closed = (
                 placed.filter(~in_open)
                 .withColumn(BATCH_ID, F.col(BATCH_ID) + F.col("_before"))
@@ -233,14 +257,26 @@ class StreamRun:
             )
             outcomes = apply_batch_handler(closed, self.batch_handler).persist()
             try:
-                self._deliver(apply_strategy(outcomes, self.strategy), batch_id)
+                # A flush after micro-batch n delivers under -(n + 1) and then replaces n's state.
+                self._deliver(apply_strategy(outcomes, self.strategy), -batch_id if last else batch_id)
             finally:
                 outcomes.unpersist()
+            if last:
+                nothing = spark.createDataFrame([], held.drop(BATCH_FOLDER).schema)
+                write_rows(ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id - 1)
+                write_rows(nothing, self.folders.state("held"), batch_id - 1)
         finally:
             assigned.unpersist()
 
     def _deliver(self, routed: DataFrame, batch_id: int) -> None:
-        """Write retry and dead-letter rows first, then outcomes and positions."""
+        """Write retry and dead-letter rows first, then outcomes and positions.
+
+        Where the strategy stops the query, rows after the first one that is not
+        accepted in their partition are not delivered: they are read again, and the
+        position stays before that row.
+        """
+        if self.on_fatal == "stop":
+            routed = until_stop(routed)
         outputs = getattr(self.strategy, "outputs", None)
         pair = outputs(routed) if outputs else None
         if pair:
@@ -256,8 +292,8 @@ class StreamRun:
             if c in routed.columns
         ]
         write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
-        written = read_state(routed.sparkSession, self.folders.outcomes, batch_id)
-        write_rows(commit_positions(merge_routes(written)), self.folders.commits, batch_id)
+        written = read_table(routed.sparkSession, f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
+        write_rows(commit_before_stop(written, accepted_rows(written)), self.folders.commits, batch_id)
         if self.on_fatal == "stop" and not isinstance(self.strategy, (Skip, Retry)):
             fatal = F.col("route") == STOP
             if "fatal" in written.columns:
@@ -268,6 +304,17 @@ class StreamRun:
                 raise FatalOutcome(f"error strategy: {stopped[0].text}")
 
 
+def until_stop(routed: DataFrame) -> DataFrame:
+    """Rows up to the first one of their partition that is not accepted."""
+    stops = materialize(
+        routed.filter(~accepted_rows(routed)).groupBy(*LOG_KEY).agg(F.min("offset").alias("_stop"))
+    )
+    if stops.isEmpty():
+        return routed
+    kept = checked_join(routed, stops, LOG_KEY, computed=True)
+    return kept.filter(F.col("_stop").isNull() | (F.col("offset") <= F.col("_stop"))).drop("_stop")
+
+
 def run_stream(
     source: DataFrame,
     folder: str,
@@ -285,7 +332,8 @@ def run_stream(
     """A run over a streaming message frame; exactly one kind of handler.
 
     ``on_fatal="stop"`` fails the query when the strategy says stop and leaves the
-    position before the micro-batch; ``"hold"`` records fatal rows and goes on.
+    position before the micro-batch; ``"hold"`` records them with
+    their route and goes on; the position stays before the first one of the micro-batch.
     """
     if handler is None and batch_handler is None:
         raise ValueError(TEXT_HANDLER_NONE)
