@@ -55,6 +55,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_messages(table(spark, sf_dir, "events"))
 
 
+def redelivered(log: DataFrame) -> DataFrame:
+    """The log with a second copy of every tenth message, as after a crash before the commit."""
+    return log.unionByName(log.filter(F.col("offset") % 10 == 0))
+
+
 def document_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message log of the ``documents`` table: whole texts as payloads."""
     return table(spark, sf_dir, "documents").select(

@@ -20,7 +20,7 @@ from msgflow.operators.handler import (
     spread,
 )
 from msgflow.operators.segments import pick_span
-from msgflow.plans.event_log import document_log, event_log, event_messages, table
+from msgflow.plans.event_log import document_log, event_log, event_messages, redelivered, table
 from msgflow.plans.registry import (
     BATCHES_SQL,
     BREAKER_SQL,
@@ -28,6 +28,7 @@ from msgflow.plans.registry import (
     NUMBERED_SQL,
     ROUTED_SQL,
     query,
+    redelivered_sql,
 )
 from msgflow.session import materialize
 from msgflow.sources.topics import bounded_read, read_dlq, to_messages
@@ -722,6 +723,29 @@ def batch_across_partitions(spark, sf_dir):
     )
 
 
+@query(
+    "batch_across_partitions_sparse_times",
+    """SELECT CAST(user_id % 3 AS INTEGER) AS "partition", event_id AS "offset",
+    CAST((row_number() OVER (ORDER BY CASE WHEN event_id % 7 <> 0 THEN ts END NULLS FIRST,
+                             user_id % 3, event_id) - 1) // 7 AS BIGINT) AS batch_id
+    FROM events""",
+)
+def batch_across_partitions_sparse_times(spark, sf_dir):
+    """One buffer for the whole topic; rows without a time come first and are all kept."""
+    log = event_log(spark, sf_dir).withColumn("timestamp", F.when(F.col("offset") % 7 != 0, F.col("timestamp")))
+    return batching.batch_by_count(log, 7, by=["topic"]).select("partition", "offset", "batch_id")
+
+
+@query(
+    "batch_by_count_or_time_redelivered",
+    f"""WITH RECURSIVE {redelivered_sql(BATCHES_SQL)} SELECT {PART_OFF}, batch_id FROM walk""",
+)
+def batch_by_count_or_time_redelivered(spark, sf_dir):
+    """Every delivery is in one batch, second copies too."""
+    log = redelivered(event_log(spark, sf_dir))
+    return batching.assign_batches(log, BATCH, span=pick_span(log)).select("partition", "offset", "batch_id")
+
+
 @query(
     "tail_batch",
     f"""WITH {NUMBERED_SQL}, totals AS (SELECT part, count(*) AS n FROM log GROUP BY part)
@@ -788,6 +812,16 @@ def circuit_breaker(spark, sf_dir):
     return breaker.circuit_breaker(rows, BREAKER, span=pick_span(rows)).select(*BREAKER_COLUMNS)
 
 
+@query(
+    "circuit_breaker_redelivered",
+    f"WITH RECURSIVE {redelivered_sql(BREAKER_SQL)} SELECT {BREAKER_SELECT} FROM breaker_log",
+)
+def circuit_breaker_redelivered(spark, sf_dir):
+    """Second copies count as further outcomes of their message."""
+    rows = redelivered(outcomes(spark, sf_dir))
+    return breaker.circuit_breaker(rows, BREAKER, span=pick_span(rows)).select(*BREAKER_COLUMNS)
+
+
 @query(
     "breaker_summary",
     f"""WITH RECURSIVE {BREAKER_SQL},

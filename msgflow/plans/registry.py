@@ -108,3 +108,11 @@ breaker_log AS (
          w.action IN ('tripped', 'rejected', 'reopened') AS fatal
   FROM walk w JOIN numbered m ON m.part = w.part AND m.rn = w.rn
 )"""
+
+
+def redelivered_sql(sql: str) -> str:
+    """The same SQL over a log in which every tenth message is delivered twice."""
+    once, twice = "FROM log\n)", "FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE off % 10 = 0)\n)"
+    if sql.count(once) != 1:
+        raise ValueError("the numbered log is read in one place")
+    return sql.replace(once, twice)

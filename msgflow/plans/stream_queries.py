@@ -119,6 +119,19 @@ def stream_batch(spark, sf_dir):
     )
 
 
+@query("stream_batch_restart", f"WITH {LOG_SQL} SELECT {PART_OFF}, CAST(1 AS BIGINT) AS deliveries FROM log")
+def stream_batch_restart(spark, sf_dir):
+    """Drained, grown and drained again: the flushed batches are not delivered a second time."""
+    log, folder = GrowingLog(spark, sf_dir, 2), run_dir(spark, "batch-restart")
+    for number in range(log.slices):
+        log.append(number)
+        run_stream(
+            log.stream(), folder, batch_handler=_never_fails, batch_policy=BATCH, span=log.span
+        ).start().drain()
+    done = read_results(spark, RunFolders(folder).outcomes)
+    return done.groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
 @query(
     "commit_after_success",
     f"""WITH {LOG_SQL},
@@ -164,6 +177,31 @@ def commit_after_success(spark, sf_dir):
     return stages[0].unionByName(stages[1])
 
 
+@query(
+    "commit_breaker_stop",
+    f"""WITH RECURSIVE {BREAKER_SQL}, stages AS (SELECT unnest(['stopped', 'restarted']) AS stage),
+    stops AS (SELECT part AS p, min(off) AS stop FROM breaker_log WHERE fatal GROUP BY part)
+    SELECT stage, part AS "partition", max(off) + 1 AS next_offset
+    FROM breaker_log LEFT JOIN stops ON p = part, stages
+    WHERE stop IS NULL OR off < stop GROUP BY stage, part""",
+)
+def commit_breaker_stop(spark, sf_dir):
+    """A breaker that stops the query leaves each position before the first fatal row, a restart too."""
+    log, folder, stages = GrowingLog(spark, sf_dir, 1), run_dir(spark, "breaker-stop"), []
+    log.append(0)
+    strategy = strategies.CircuitBreaker(BREAKER, span=log.span)
+    for stage in ("stopped", "restarted"):
+        run = run_stream(log.stream(), folder, native_handler(), strategy=strategy).start()
+        try:
+            run.query.awaitTermination()
+        except Exception:  # noqa: BLE001,S110 - the strategy stopped the query
+            pass
+        commits = read_results(spark, RunFolders(folder).commits)
+        positions = commits.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
+        stages.append(materialize(positions.select(F.lit(stage).alias("stage"), "partition", "next_offset")))
+    return stages[0].unionByName(stages[1])
+
+
 @query(
     "rate_limits",
     "SELECT count(*) AS messages, true AS one_file_each FROM events",

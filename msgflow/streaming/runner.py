@@ -30,7 +30,7 @@ from msgflow.operators.batching import BATCH_ID, assign_batches
 from msgflow.operators.breaker import breaker_state
 from msgflow.operators.handler import BatchHandler, Handler, apply_batch_handler, apply_handler
 from msgflow.operators.joins import checked_join
-from msgflow.operators.offsets import commit_before_stop
+from msgflow.operators.offsets import commit_positions
 from msgflow.operators.retry import STOP
 from msgflow.operators.segments import DEFAULT_SPAN
 from msgflow.operators.strategies import (
@@ -40,6 +40,7 @@ from msgflow.operators.strategies import (
     Skip,
     accepted_rows,
     apply_strategy,
+    merge_routes,
 )
 from msgflow.schema import LOG_KEY
 from msgflow.session import materialize
@@ -293,7 +294,8 @@ class StreamRun:
         ]
         write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
         written = read_table(routed.sparkSession, f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
-        write_rows(commit_before_stop(written, accepted_rows(written)), self.folders.commits, batch_id)
+        handled = merge_routes(until_stop(written))
+        write_rows(commit_positions(handled), self.folders.commits, batch_id)
         if self.on_fatal == "stop" and not isinstance(self.strategy, (Skip, Retry)):
             fatal = F.col("route") == STOP
             if "fatal" in written.columns:
