@@ -49,7 +49,7 @@ def line_ends(data: np.ndarray) -> np.ndarray:
 
 def allocate(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """Section of each token by the rule, and whether it crosses a boundary."""
-    starts = np.concatenate([[0], token_ends[:-1]]).astype(np.int64)
+    starts = np.concatenate([[0], token_ends]).astype(np.int64)[:-1]
     first = np.searchsorted(section_ends, starts, "right")
     last = np.searchsorted(section_ends, token_ends - 1, "right")
     crosses = first != last
