@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Optional
 
 import numpy as np
 import pyarrow as pa
@@ -213,18 +214,24 @@ def assign_batches(
     return give_back(rows, numbered, identity)
 
 
-def tail_batch(batched: DataFrame, size: int, by: Sequence[str] = LOG_KEY) -> DataFrame:
+def tail_batch(
+    batched: DataFrame, size: int, by: Sequence[str] = LOG_KEY, log: Optional[DataFrame] = None
+) -> DataFrame:
     """Mark rows of each key's last batch when it is not full (``is_partial``).
 
     Nothing is held back at the end of the input: the last batch is delivered as it is.
+    For batches by count, give the ``log`` they were made of: the last batch then follows
+    from the rows of each key, and the batching runs once.
     """
-    sizes = batched.groupBy(*by, BATCH_ID).agg(F.count(F.lit(1)).alias("_size"))
-    last = sizes.groupBy(*by).agg(
-        F.max(F.struct(BATCH_ID, "_size")).alias("_last")
-    )
-    partial = last.filter(F.col("_last._size") < size).select(
-        *by, F.col(f"_last.{BATCH_ID}").alias("_partial")
-    )
+    if log is not None:
+        rows = log.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        partial = rows.filter(F.col("_n") % size != 0).select(*by, F.expr(f"_n div {size}L").alias("_partial"))
+    else:
+        sizes = batched.groupBy(*by, BATCH_ID).agg(F.count(F.lit(1)).alias("_size"))
+        last = sizes.groupBy(*by).agg(F.max(F.struct(BATCH_ID, "_size")).alias("_last"))
+        partial = last.filter(F.col("_last._size") < size).select(
+            *by, F.col(f"_last.{BATCH_ID}").alias("_partial")
+        )
     return (
         checked_join(batched, partial, by)
         .withColumn("is_partial", F.coalesce(F.col(BATCH_ID) == F.col("_partial"), F.lit(False)))

@@ -47,6 +47,8 @@ def salted_join(
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError("salted_join keeps the big side: use inner, left, left_semi or left_anti")
     on = list(on)
+    if big.count() <= hot_rows:
+        return big.join(unique, on, how)  # no key can be hot; saves counting all keys
     hot = materialize(
         big.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on, F.lit(True).alias("_hot"))
     )

@@ -756,7 +756,7 @@ def batch_by_count_or_time_redelivered(spark, sf_dir):
 def tail_batch(spark, sf_dir):
     log = event_log(spark, sf_dir)
     batched = batching.batch_by_count(log, 7, span=pick_span(log))
-    return batching.tail_batch(batched, 7).select("partition", "offset", "batch_id", "is_partial")
+    return batching.tail_batch(batched, 7, log=log).select("partition", "offset", "batch_id", "is_partial")
 
 
 @query(

@@ -41,3 +41,28 @@ def materialize(df: DataFrame) -> DataFrame:
     path = run_dir(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Give the package to executors that do not have it installed.
+
+    Python functions travel by the name of their module, so workers import it. Writes a zip
+    of the package into the shared folder and adds it to the session; returns its path.
+    """
+    import io
+    import pathlib
+    import zipfile
+
+    top = pathlib.Path(__file__).resolve().parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    path = f"{run_dir(spark, 'package')}/{top.name}.zip"
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(buffer.getvalue()))
+    out.close()
+    context.addPyFile(path)
+    return path

@@ -88,3 +88,37 @@ def test_exactly_one_handler(make):
         run_stream(df, "/unused", handler=print, batch_handler=print)
     with pytest.raises(ValueError, match="single-message mode"):
         run_stream(df, "/unused", batch_handler=print, strategy=CircuitBreaker())
+
+
+def test_the_package_can_be_shipped(spark):
+    import sys
+    import zipfile
+
+    from msgflow.session import ship_package
+
+    path = ship_package(spark)
+    with zipfile.ZipFile(path.removeprefix("file:")) as archive:
+        assert "msgflow/operators/handler.py" in archive.namelist()
+    sys.path[:] = [p for p in sys.path if not p.endswith("/msgflow.zip")]
+
+
+def test_sink_takes_connection_settings_and_source_its_own_options():
+    from msgflow.config import TopicConfig
+    from msgflow.sources.sinks import sink_options
+    from msgflow.sources.topics import connector_options
+
+    config = TopicConfig("t", ("b:1",), "g", {"security.protocol": "SSL", "fetch.min.bytes": 5})
+    assert sink_options(config)["kafka.security.protocol"] == "SSL"
+    assert "kafka.fetch.min.bytes" not in sink_options(config)
+    options = connector_options(config, '{"t":{"0":5}}', {"minPartitions": "40"})
+    assert options["minPartitions"] == "40" and options["startingOffsets"] == '{"t":{"0":5}}'
+    with pytest.raises(ValueError, match="not options of the source"):
+        connector_options(config, reader={"subscribe": "x"})
+
+
+def test_positions_as_starting_offsets(spark):
+    from msgflow.sources.topics import starting_offsets
+
+    rows = [("t", 1, 7), ("t", 0, 3), ("t", 0, 5), ("u", 0, 9)]
+    df = spark.createDataFrame(rows, "topic string, partition int, next_offset long")
+    assert starting_offsets(df, "t") == '{"t": {"0": 5, "1": 7}}'
