@@ -38,7 +38,7 @@ from msgflow.session import materialize
 
 SIZE, GRAM = 400, 100
 REACH = SIZE - GRAM  # an anchor lies at most so many bytes after the start of its string
-GROUP, BIN_ROWS = 2_000, 4_000
+GROUP, BIN_ROWS = 16_000, 4_000
 LETTERS = spread_table(256, 31)
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
@@ -159,19 +159,30 @@ def _open_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64())], ["_gram"])
 
 
+def _own_strings(hashes: Hashes, places: np.ndarray) -> list[tuple[int, int]]:
+    """First and last start of the strings that each place is the anchor of (one run of starts)."""
+    grams, least = least_grams(hashes)
+    out = []
+    for at in places.tolist():
+        lo = max(at - REACH, 0)
+        own = np.flatnonzero(least[lo : at + 1] == grams[at])
+        out.append((lo + int(own[0]), lo + int(own[-1])))
+    return out
+
+
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text around the wanted anchors and the anchor's place in it."""
+    """The text of all strings of the wanted anchors, and the anchor's place in it."""
     for batch in batches:
         data, offsets = text_bytes(batch["_text"])
         grams, kinds, lefts, texts = [], [], [], []
         for row in range(len(batch)):
             text = data[offsets[row] : offsets[row + 1]]
             places = _ints(batch["_at"], row)
-            starts, ends = _context_ranges(places, len(text))
+            own = np.array(_own_strings(Hashes(text), places), np.int64).reshape(-1, 2)
             grams.append(_ints(batch["_gram"], row))
             kinds.append(_ints(batch["_context"], row))
-            lefts.append(places - starts)
-            texts += [text[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+            lefts.append(places - own[:, 0])
+            texts += [text[a : b + SIZE].tobytes() for a, b in own.tolist()]
         join = lambda x: np.concatenate([*x, np.zeros(0, np.int64)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(join(grams)), pa.array(join(kinds)), pa.array(join(lefts)), pa.array(texts, pa.binary())],
@@ -180,18 +191,21 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all strings that hold a wanted anchor, with their offset before it."""
+    """Hashes of all strings of the wanted anchors, with their offset before it."""
     for batch in batches:
         data, offsets = text_bytes(batch["_text"])
         for row in range(len(batch)):
-            text = data[offsets[row] : offsets[row + 1]]
-            strings = Hashes(text).sized(SIZE).view(np.int64)
-            for at, gram, kind in zip(*(_ints(batch[c], row).tolist() for c in ("_at", "_gram", "_context"))):
-                lo, hi = max(at - REACH, 0), min(at + 1, len(strings))
-                n = hi - lo
+            hashes = Hashes(data[offsets[row] : offsets[row + 1]])
+            strings = hashes.sized(SIZE).view(np.int64)
+            places = _ints(batch["_at"], row)
+            runs = _own_strings(hashes, places)
+            for at, gram, kind, (lo, hi) in zip(
+                places.tolist(), _ints(batch["_gram"], row).tolist(), _ints(batch["_context"], row).tolist(), runs
+            ):
+                n = hi - lo + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, gram)), pa.array(np.full(n, kind)), pa.array(at - np.arange(lo, hi)),
-                     pa.array(strings[lo:hi])], ["_gram", "_context", "_offset", "_string"],
+                    [pa.array(np.full(n, gram)), pa.array(np.full(n, kind)), pa.array(at - np.arange(lo, hi + 1)),
+                     pa.array(strings[lo : hi + 1])], ["_gram", "_context", "_offset", "_string"],
                 )
 
 
@@ -203,23 +217,27 @@ def aligned_factors(grams: np.ndarray, lefts: np.ndarray, texts: list[bytes]) ->
     position in that order belong to the matches; as only those of SIZE bytes count, a string has
     one if a neighbour in the order is equal to it.
     """
-    n = len(texts)
-    width = REACH + SIZE
-    padded = np.zeros((n, width), np.uint8)
-    ends = np.zeros(n, np.int64)
-    for i, (left, text) in enumerate(zip(lefts.tolist(), texts)):
-        start = REACH - left
-        ends[i] = start + len(text)
-        padded[i, start : ends[i]] = np.frombuffer(text, np.uint8)
-    sums = np.zeros((n, width + 1), np.uint64)
-    np.cumsum(LETTERS[padded] * powers_of(FACTOR, width), axis=1, out=sums[:, 1:])
-    back = powers_of(INVERSE, width + 1)
+    n, width = len(texts), REACH + SIZE
+    ends = REACH - lefts + np.array([len(t) for t in texts], np.int64)
     salt = mix64(grams.astype(np.int64).view(np.uint64))
+    powers, back = powers_of(FACTOR, width), powers_of(INVERSE, REACH + 1)
+    #: Hash of the string at each start, for all contexts; column i is offset REACH - i.
+    strings = np.zeros((n, REACH + 1), np.uint64)
+    for lo in range(0, n, 512):
+        part = texts[lo : lo + 512]
+        padded = np.zeros((len(part), width), np.uint8)
+        for i, (left, text) in enumerate(zip(lefts[lo : lo + 512].tolist(), part)):
+            padded[i, REACH - left : REACH - left + len(text)] = np.frombuffer(text, np.uint8)
+        sums = np.zeros((len(part), width + 1), np.uint64)
+        np.cumsum(LETTERS[padded] * powers, axis=1, out=sums[:, 1:])
+        strings[lo : lo + 512] = mix64((sums[:, SIZE:] - sums[:, : REACH + 1]) * back)
     most, least = np.full(n, -1), np.full(n, -1)
     for offset in range(REACH + 1):
         start = REACH - offset
         inside = np.flatnonzero((lefts >= offset) & (ends >= start + SIZE))
-        keys = mix64((sums[inside, start + SIZE] - sums[inside, start]) * back[start]) ^ salt[inside]
+        if not len(inside):
+            continue
+        keys = strings[inside, start] ^ salt[inside]
         order = np.argsort(keys, kind="stable")
         same = keys[order[1:]] == keys[order[:-1]]
         has_previous, has_next = np.concatenate([[False], same]), np.concatenate([same, [False]])
