@@ -214,6 +214,18 @@ def apply_handler(df: DataFrame, handler: Handler) -> DataFrame:
     )
 
 
+def panics_of(attempt: Column, *inputs: Column) -> Column:
+    """Where an expression would have raised: its ``try_`` form gave NULL, though its inputs are there.
+
+    Write a native handler's casts, divisions and lookups as ``try_`` expressions and give
+    the result to ``capture_panic``; a plain one would end the whole job instead of the row.
+    """
+    raised = attempt.isNull()
+    for column in inputs:
+        raised = raised & column.isNotNull()
+    return raised
+
+
 def capture_panic(df: DataFrame, panics: Column, text: Column) -> DataFrame:
     """Turn rows whose native handler would raise into failed rows; others are kept."""
     return (

@@ -16,6 +16,7 @@ from msgflow.operators.handler import (
     apply_handler,
     capture_panic,
     column_handler,
+    panics_of,
     split_outcomes,
     spread,
 )
@@ -234,6 +235,19 @@ def capture_panic_query(spark, sf_dir):
     )
 
 
+@query(
+    "capture_panic_raised",
+    f"""WITH {LOG_SQL} SELECT {PART_OFF}, ok AND off % 5 <> 0 AS ok,
+    CASE WHEN off % 5 = 0 THEN 'handler panic: division by zero at ' || off ELSE error END AS error FROM log""",
+)
+def capture_panic_raised(spark, sf_dir):
+    """A division that raises in every fifth row, each caught as that row's panic."""
+    step = F.col("offset") % 5
+    panics = panics_of(F.try_divide(F.col("value"), step), F.col("value"))
+    text = F.concat(F.lit("division by zero at "), F.col("offset").cast("string"))
+    return capture_panic(outcomes(spark, sf_dir), panics, text).select("partition", "offset", "ok", "error")
+
+
 def _describe(message: Message):
     """Python handler that fails every message with what it knows about it."""
     seconds = message.timestamp.strftime("%Y-%m-%d %H:%M:%S")

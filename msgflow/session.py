@@ -26,9 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/msgflow-{spark.sparkContext.applicationId}"
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path for one run inside the shared folder (never reused)."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one run inside the application's part of the shared folder (never reused)."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables this application has written for itself. No frame made before may be read later."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
