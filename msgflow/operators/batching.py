@@ -158,7 +158,7 @@ def assign_batches(
     order = order_for(by)
     size, timeout_us = policy.size, policy.timeout_ms * 1000
     check_columns(df, [*by, *order, "timestamp"], "assign_batches")
-    rows = tagged(settled(df))
+    rows = tagged(settled(df), "timestamp")
     slim_columns = list(dict.fromkeys([*by, *order, "timestamp", TAG]))
     segmented = with_segments(rows.select(*slim_columns), order, span, by)
     slim = segmented.withColumn("_us", moment_us())

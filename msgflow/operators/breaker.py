@@ -254,7 +254,7 @@ def circuit_breaker(
     """
     by, order = list(by), order_for(by)
     check_columns(df, [*by, *order, "timestamp", "ok"], "circuit_breaker")
-    rows = tagged(settled(df))
+    rows = tagged(settled(df), "timestamp", "ok")
     inherited, slim = _inherited_breakers(rows, policy, by, order, span, initial)
     keys, identity = [*by, SEGMENT], identity_of(by, order)
     sort_keys = _log_order(order)
@@ -365,7 +365,7 @@ def breaker_state(
 ) -> DataFrame:
     """The breaker of each key after all its rows: ``state, failures, successes, last``."""
     by, order = list(by), order_for(by)
-    inherited, _ = _inherited_breakers(tagged(settled(df)), policy, by, order, span, initial)
+    inherited, _ = _inherited_breakers(tagged(settled(df), "timestamp", "ok"), policy, by, order, span, initial)
     return (
         inherited.groupBy(*by)
         .agg(F.max_by("_after", SEGMENT).alias("_b"))

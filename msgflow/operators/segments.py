@@ -40,14 +40,9 @@ def settled(df: DataFrame) -> DataFrame:
     return df if plan.deterministic() or df.isStreaming else materialize(df)
 
 
-def tagged(df: DataFrame) -> DataFrame:
-    """Add ``_tag``, a hash of the whole row: it tells apart rows of one position that differ."""
-
-    def comparable(c: str) -> Column:
-        is_map = isinstance(df.schema[c].dataType, T.MapType)
-        return F.array_sort(F.map_entries(c)) if is_map else F.col(c)
-
-    return df.withColumn(TAG, F.xxhash64(*[comparable(c) for c in df.columns]))
+def tagged(df: DataFrame, *decisive: str) -> DataFrame:
+    """Add ``_tag``, a hash of the nullable columns that an operator's result depends on."""
+    return df.withColumn(TAG, F.xxhash64(*[c for c in decisive if c in df.columns], F.lit(0)))
 
 
 def identity_of(by: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -58,14 +53,16 @@ def identity_of(by: Sequence[str], order: Sequence[str]) -> list[str]:
 def give_back(df: DataFrame, results: DataFrame, identity: Sequence[str]) -> DataFrame:
     """The rows of tagged ``df`` with what ``results`` (one row for each of them) adds.
 
-    Rows that share the whole identity are copies of each other, so any of them can lend its
-    columns: one does, and every result row takes it. No row is lost or multiplied. The window
-    uses the join's own partitioning and order.
+    Rows that share the whole identity (repeated deliveries) are numbered on both sides. They
+    are alike in all that the results depend on, so any pairing is right, and no row is lost or
+    multiplied. The windows use the join's own partitioning and order.
     """
-    here = Window.partitionBy(*identity).orderBy(F.lit(1))
-    one = df.withColumn("_copy", F.row_number().over(here)).filter("_copy = 1").drop("_copy")
-    added = [c for c in results.columns if c not in df.columns]
-    return results.join(one, list(identity)).select(*[c for c in df.columns if c != TAG], *added)
+    number = F.row_number().over(Window.partitionBy(*identity).orderBy(F.lit(1)))
+    rows, results = df.withColumn("_copy", number), results.withColumn("_copy", number)
+    added = [c for c in results.columns if c not in rows.columns]
+    return results.select(*identity, "_copy", *added).join(rows, [*identity, "_copy"]).select(
+        *[c for c in df.columns if c != TAG], *added
+    )
 
 
 def moment_us(column: str = "timestamp") -> Column:
@@ -133,9 +130,9 @@ def with_position(
     """0-based rank of each row in its key: rows in earlier segments + rank inside its own."""
     if not _offset_like(df, order):
         # Only the identity is cut into ranges and materialised; payloads join it.
-        rows = tagged(settled(df))
+        rows = tagged(settled(df), "timestamp")
         slim = rows.select(*dict.fromkeys([*by, *order, TAG]))
-        placed = _positions(slim, by, [*order, TAG], span, name).drop("timestamp")
+        placed = _positions(slim, by, [*order, TAG], span, name)
         return give_back(rows, placed, identity_of(by, order))
     return _positions(df, by, order, span, name)
 
