@@ -5,9 +5,22 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of text that one numpy pass works on; longer texts are passed in slices.
-BLOCK = 1 << 22
+BLOCK = 1 << 19
+
+
+#: Rows of an Arrow batch at most. Whole texts are large, and executors hold a batch on both sides.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` in a session whose Arrow batches have at most ``BATCH_ROWS`` rows (it stays so)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -25,12 +26,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries a worker keeps of encoded words and of decided pairs before it starts anew.
-KEPT_WORDS, KEPT_PAIRS = 400_000, 1_000_000
+from msgflow.llm.arrow_text import small_batches
+
+#: Entries of a generation of encoded texts, and of decided pairs before these start anew.
+KEPT_WORDS, KEPT_PAIRS = 120_000, 200_000
 #: Words longer than this are not kept.
 LONG_WORD = 64
 #: Tokens decoded by one numpy pass.
 DECODE_BLOCK = 1 << 18
+#: Rows given back at a time, so that ids and decoded texts of a whole batch are never held.
+ROWS = 256
 
 
 def byte_letters() -> list[str]:
@@ -69,7 +74,7 @@ class MergeCoder:
         if len(set(self.words)) != len(self.words):
             raise ValueError("a token is made by more than one merge")
         self.length = [len(w) for w in self.words]
-        by_word = {w: i for i, w in enumerate(self.words)}
+        self.by_word = by_word = {w: i for i, w in enumerate(self.words)}
         #: The longest token that is a proper beginning of a token.
         self.shorter = [
             next((by_word[w[:k]] for k in range(len(w) - 1, 0, -1) if w[:k] in by_word), -1) for w in self.words
@@ -124,13 +129,23 @@ class MergeCoder:
         n = len(word)
         if not n:
             return []
-        starts = self.longest(word)
+        if word in self.by_word:
+            return [self.ids[self.by_word[word]]]
+        starts, length, known = self.longest(word), self.length, self.pairs.get
         dead = bytearray(n + 1)
         chosen: list[int] = []
         at, token = 0, starts[0]
         while True:
-            end = at + self.length[token]
-            if not dead[end] and (not chosen or self.compatible(chosen[-1], token)):
+            end = at + length[token]
+            if dead[end]:
+                fits = False
+            elif chosen:
+                fits = known((chosen[-1], token))
+                if fits is None:
+                    fits = self.compatible(chosen[-1], token)
+            else:
+                fits = True
+            if fits:
                 chosen.append(token)
                 if end == n:
                     return [self.ids[t] for t in chosen]
@@ -140,10 +155,30 @@ class MergeCoder:
             while token < 0:
                 dead[at] = 1
                 last = chosen.pop()
-                at -= self.length[last]
+                at -= length[last]
                 token = self.shorter[last]
 
 
+class Kept(dict):
+    """Results by text, in two generations: what is asked for again outlives a change of generation."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def keep(self, text: str, out: bytes) -> bytes:
+        if len(text) <= LONG_WORD:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[text] = out
+        return out
+
+
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
     """A lower-casing byte-level tokenizer with word ends, from the text of its JSON file."""
 
@@ -163,26 +198,30 @@ class WordTokenizer:
         #: Offset table: the bytes of token i are blob[starts[i]:starts[i + 1]].
         self.starts = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
         self.blob = np.frombuffer(b"".join(blob), np.uint8)
-        self.known: dict[str, bytes] = {}
+        self.known, self.words = Kept(), Kept()
         self.special_parts = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")")
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a text without white space, as little-endian 32-bit words."""
-        plain = unicodedata.normalize("NFC", chunk)
-        # Letter by letter: a final sigma has no form of its own here.
-        plain = plain.lower() if plain.isascii() else plain.translate(NEWER_CASES).lower()
-        ids: list[int] = []
-        # Characters newer than the vocabulary's library are symbols, not letters.
-        shape = plain if plain.isascii() else NEWER.sub("\ue000", plain)
-        for found in self.parts.finditer(shape):
-            raw = plain[found.start() : found.end()].encode("utf-8", "replace")
-            ids += self.coder.encode(raw[:-1].decode("latin-1") + chr(raw[-1] + 256))
-        out = np.array(ids, "<u4").tobytes()
-        if len(chunk) <= LONG_WORD:
-            if len(self.known) >= KEPT_WORDS:
-                self.known.clear()
-            self.known[chunk] = out
-        return out
+        out = self.known.older.get(chunk)
+        if out is None:
+            if chunk.isascii():
+                parts = self.parts.findall(chunk.lower())
+            else:
+                plain = unicodedata.normalize("NFC", chunk).translate(NEWER_CASES).lower()
+                # Characters newer than the vocabulary's library are symbols, not letters.
+                found = self.parts.finditer(NEWER.sub("\ue000", plain))
+                parts = [plain[m.start() : m.end()] for m in found]
+            words, make = self.words, self._word
+            out = b"".join([words.get(p) or make(p) for p in parts])
+        return self.known.keep(chunk, out)
+
+    def _word(self, part: str) -> bytes:
+        out = self.words.older.get(part)
+        if out is None:
+            raw = part.encode("utf-8", "replace")
+            out = pack(self.coder.encode(raw[:-1].decode("latin-1") + chr(raw[-1] + 256)))
+        return self.words.keep(part, out)
 
     def _plain(self, text: str) -> bytes:
         chunks = SPACES.split(text) if SEPARATORS.search(text) else text.split()
@@ -193,10 +232,17 @@ class WordTokenizer:
         if "<|" not in text:
             return self._plain(text)
         return b"".join(
-            np.array([self.special[p]], "<u4").tobytes() if p in self.special else self._plain(p)
+            pack([self.special[p]]) if p in self.special else self._plain(p)
             for p in self.special_parts.split(text)
         )
 
+    def forget(self) -> None:
+        """Drop what was kept: a worker lives on after its task, beside those of other stages."""
+        for kept in (self.known, self.words):
+            kept.clear()
+            kept.older = {}
+        self.coder.pairs.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the tokens with blanks between them, copied out of the offset table."""
         out = []
@@ -248,7 +294,7 @@ def read_definition(path: str) -> str:
 def _run_batches(shared, digest: str, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer_of(shared.value, digest)
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, len(whole), ROWS)):
             counts, id_digests, text_digests, lists, texts = [], [], [], [], []
             for text in batch.column(1):
                 raw = coder.encode(text.as_py() or "")
@@ -267,6 +313,8 @@ def _run_batches(shared, digest: str, full: bool):
             else:
                 arrays += [pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(len(arrays))])
+        coder.forget()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -277,7 +325,7 @@ def _apply(docs: DataFrame, path: str, key: str, text: str, full: bool, columns:
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     digest = hashlib.sha256(definition.encode()).hexdigest()
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
+    return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
         _run_batches(shared, digest, full), f"`{key}` {kind}, n_tokens bigint, {columns}"
     )
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import BLOCK, LOWER, spread_table, text_bytes
+from msgflow.llm.arrow_text import BLOCK, LOWER, small_batches, spread_table, text_bytes
 from msgflow.session import materialize
 
 WINDOW = 32
@@ -124,7 +124,7 @@ def clashing_ids(texts: DataFrame, seed: int, name=chunk_id) -> DataFrame:
 
 def recipes(docs: DataFrame, key: str, text: str, name=chunk_id) -> DataFrame:
     """A table of (_key, _sha, _recipe, _row); equal recipes mean equal normalised texts."""
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    texts = small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
     for seed in range(64):
         if clashing_ids(texts, seed, name).isEmpty():

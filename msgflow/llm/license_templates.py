@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import text_bytes
+from msgflow.llm.arrow_text import small_batches, text_bytes
 
 #: Lowers A-Z and turns every ASCII byte that is no letter or digit into a blank.
 PLAIN = np.full(256, 32, np.uint8)
@@ -206,7 +206,7 @@ def license_report(docs: DataFrame, key: str = "doc_id", text: str = "text", phr
     Rows that repeat are scanned alike; an empty table gives no rows; other columns are not looked at.
     """
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
+    return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
         _scan(phrases, notices),
         f"`{key}` {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
         "base_labels string, labels string, score double",

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import BLOCK, LOWER, mix64, spread_table, text_bytes
+from msgflow.llm.arrow_text import BLOCK, LOWER, mix64, small_batches, spread_table, text_bytes
 from msgflow.session import materialize
 
 SAMPLES, BANDS, ROWS = 128, 32, 4
@@ -260,7 +260,7 @@ def near_groups(
     one document in links. A null key has component null and is kept. An empty table gives no
     rows; other columns are not looked at. Keys are integers.
     """
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    texts = small_batches(docs).select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
     longs = ", ".join(f"{c} bigint" for c in SKETCH)
     table = materialize(texts.mapInArrow(
         _signatures(width), f"_id bigint, _size bigint, _class binary, _bands array<bigint>, {longs}"))

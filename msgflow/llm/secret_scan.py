@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgflow.llm.arrow_text import small_batches
+
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 ASSIGN = re.compile(
@@ -170,6 +172,6 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     looked at. Whole texts are scanned, one at a time, in time linear in their length.
     """
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
+    return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
         _scan, f"`{key}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
     )

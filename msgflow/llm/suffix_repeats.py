@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import mix64, spread_table, text_bytes
+from msgflow.llm.arrow_text import mix64, small_batches, spread_table, text_bytes
 from msgflow.operators.joins import checked_join
 from msgflow.session import materialize
 
@@ -285,7 +285,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", gro
     400 bytes on. An empty table gives no rows; other columns are not looked at.
     """
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    texts = docs.select(
+    texts = small_batches(docs).select(
         F.col(f"`{key}`").alias("_key"), body.alias("_text"), F.xxhash64(body).alias("_h1"),
         F.xxhash64(F.lit(1), body).alias("_h2"),
     )

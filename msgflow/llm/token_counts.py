@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgflow.llm.arrow_text import small_batches
+
 RULES = ("first", "last", "most")
 _BUILT: dict[str, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
@@ -108,7 +110,7 @@ def section_tokens(
         ranks = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
+    return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(
         _count(shared, pattern, hashlib.sha256(ranks + pattern.encode()).hexdigest(), rule),
         f"`{key}` {kind}, section bigint, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint",
     )

@@ -13,14 +13,16 @@ shuffle. The folded table has a fixed size and is broadcast.
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator  # noqa: TC003  (read by pandas_udf)
+from collections.abc import Iterator, Sequence  # noqa: TC003  (read by pandas_udf)
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgflow.llm.arrow_text import small_batches
 from msgflow.session import materialize
 
 BUCKETS = 1 << 18
@@ -36,15 +38,15 @@ SCALE = 20.0
 #: Deviations by which a row's share of texts must differ between the classes, in how many texts at least.
 CLEAR, LEAST = 6.0, 8
 #: Texts whose subwords are spread out at a time.
-STRETCH = 256
+STRETCH = 64
 WORD = re.compile(r"\w+")
 #: Words a worker keeps the weight of before it starts anew, and the longest it keeps.
-KEPT, LONG_WORD = 400_000, 64
+KEPT, LONG_WORD = 150_000, 64
 
 
 def subwords(word: str) -> list[int]:
-    """Rows of the table for a word: itself and its n-grams. Very long words are cut for this."""
-    marked = f"<{word[:200]}>"
+    """Rows of the table for a word: itself and its n-grams."""
+    marked = f"<{word}>"
     n = len(marked)
     grams = [marked[i : i + k] for k in range(SHORTEST, LONGEST + 1) for i in range(n - k + 1)]
     return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in [*grams, marked]]
@@ -57,21 +59,23 @@ def words_of(text: str) -> list[str]:
 class Bags:
     """Texts as counts of words, words as subwords, both as flat arrays."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: Sequence[str]):
+        # Compact arrays: the driver holds this for the whole sample.
         number: dict[str, int] = {}
-        ids: list[int] = []
-        counts: list[int] = []
-        lengths = []
+        ids, counts, grams = array("i"), array("i"), array("i")
+        lengths, sizes = [], []
         for text in texts:
             bag = Counter(words_of(text))
-            ids += [number.setdefault(w, len(number)) for w in bag]
-            counts += bag.values()
+            ids.extend(number.setdefault(w, len(number)) for w in bag)
+            counts.extend(bag.values())
             lengths.append(len(bag))
-        grams = [subwords(w) for w in number]
-        self.word, self.count = np.array(ids, np.int64), np.array(counts, np.float64)
-        self.doc = np.repeat(np.arange(len(texts)), lengths)
-        self.size = np.array([len(g) for g in grams], np.int64)
-        self.gram = np.array([x for g in grams for x in g], np.int64)
+        for word in number:
+            rows = subwords(word)
+            sizes.append(len(rows))
+            grams.extend(rows)
+        self.word, self.count, self.gram = (np.frombuffer(x, np.int32) for x in (ids, counts, grams))
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+        self.size = np.array(sizes, np.int64)
         self.first = np.cumsum(self.size) - self.size
         #: Subwords of each text, repeats counted.
         self.total = np.maximum(np.bincount(self.doc, self.count * self.size[self.word], len(texts)), 1)
@@ -79,6 +83,8 @@ class Bags:
     def pairs(self, lo: int, hi: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, row of the table and count of the subwords of texts lo to hi whose row is kept."""
         a, b = np.searchsorted(self.doc, [lo, hi])
+        if not len(self.word):
+            return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
         word = self.word[a:b]
         size = self.size[word]
         ends = np.cumsum(size)
@@ -98,7 +104,7 @@ def telling_rows(bags: Bags, y: np.ndarray) -> np.ndarray:
     everything = np.ones(BUCKETS, bool)
     for lo in range(0, len(y), STRETCH):
         doc, row, _ = bags.pairs(lo, lo + STRETCH, everything)
-        once = np.unique(doc * BUCKETS + row)
+        once = np.unique(doc.astype(np.int64) * BUCKETS + row)
         for label in (0, 1):
             seen[label] += np.bincount(once[y[once // BUCKETS] == label] % BUCKETS, minlength=BUCKETS)
     n = np.array([(y == 0).sum(), (y == 1).sum()], float)[:, None]
@@ -107,7 +113,7 @@ def telling_rows(bags: Bags, y: np.ndarray) -> np.ndarray:
     return (np.abs(rate[1] - rate[0]) > CLEAR * spread) & (seen.sum(axis=0) >= LEAST)
 
 
-def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
+def train(texts: Sequence[str], labels: Sequence[int]) -> tuple[np.ndarray, float]:
     """Folded weights of all rows of the table, and the bias, for the log-odds of label 1."""
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
@@ -118,7 +124,7 @@ def train(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     parts = [bags.pairs(lo, lo + STRETCH, keep) for lo in range(0, len(y), STRETCH)]
     doc, row, count = (np.concatenate(x) for x in zip(*parts))
     used, row = np.unique(row, return_inverse=True)
-    key, place = np.unique(doc * (len(used) + 1) + row, return_inverse=True)
+    key, place = np.unique(doc.astype(np.int64) * (len(used) + 1) + row, return_inverse=True)
     weight = np.bincount(place, count, len(key))
     doc, row = key // (len(used) + 1), key % (len(used) + 1)
     weight = (weight * SCALE / bags.total[doc])[:, None]
@@ -208,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text"):
     """A column of scores from 0 to 1 for the whole texts; a null text scores as an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one float for each row of the table
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)  # one float for each row of the table
 
     def odds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(*shared.value)
