@@ -10,7 +10,7 @@
 3. After the components of these links are known, only bands whose members lie in more than one
    component are left. A member outside the band's largest component stays open if the odd sketch
    of any member of another component is near its own (a semi-join, which makes no pairs). Open
-   members are held against the members of their bands in blocks: sketches first, then full sets.
+   members are held against the members of their bands, both in blocks: sketches first, then full sets.
    So every pair that shares a band is either connected already, rejected by its sketches, or
    compared on full sets.
 
@@ -35,7 +35,7 @@ SAMPLES, BANDS, ROWS = 128, 32, 4
 SKETCH_BITS = 512
 #: Differing sketch bits up to which a pair is compared exactly.
 FAR = 88
-#: Rows of the larger side that a task holds open members against.
+#: Rows of open members, and of those they are held against, in one task on average.
 BLOCK_ROWS = 1_024
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -309,15 +309,19 @@ def near_groups(
     partners = there.join(open_ones.alias("x"), near, "left_semi").select("y._id", "y._largest").distinct()
     rows = lambda of: of.join(roots, "_id", "left").join(firsts.select("_id", *SKETCH), "_id").join(sets, "_id").select(
         "_id", F.coalesce("_root", "_id").alias("_root"), "_largest", *SKETCH, "_set")
+    asked, partners = open_ones.select("_id", "_largest").distinct(), materialize(partners)
+    # Both sides are cut, so that a task holds two blocks, however many members are open.
     blocks = materialize(
-        partners.groupBy("_largest").count()
-        .select("_largest", F.ceil(F.col("count") / BLOCK_ROWS).alias("_blocks"))
+        partners.groupBy("_largest").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_blocks"))
+        .join(asked.groupBy("_largest").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_asks")), "_largest")
     )
-    against = rows(partners).join(blocks, "_largest").withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")))
-    asking = materialize(rows(open_ones.select("_id", "_largest").distinct()).join(blocks, "_largest"))
-    asking = asking.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    own = lambda blocks: F.pmod(F.xxhash64("_id"), F.col(blocks))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+    against = rows(partners).join(blocks, "_largest").withColumn("_block", own("_blocks")).withColumn("_ask", every("_asks"))
+    asking = materialize(rows(asked).join(blocks, "_largest").withColumn("_ask", own("_asks")))
+    asking = asking.withColumn("_block", every("_blocks"))
     more = materialize(
-        asking.groupBy("_largest", "_block").cogroup(against.groupBy("_largest", "_block"))
+        asking.groupBy("_largest", "_ask", "_block").cogroup(against.groupBy("_largest", "_ask", "_block"))
         .applyInArrow(_links_between(percent), "a bigint, b bigint")
     )
     if not more.isEmpty():

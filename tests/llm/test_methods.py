@@ -188,3 +188,40 @@ def test_no_link_is_lost_in_large_groups(spark, monkeypatch, block):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in odd_sketch.near_groups(df, width=4).collect()}
     assert got == {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_no_task_holds_all_unlinked_members_of_a_band(spark, monkeypatch):
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(300):  # pages of one template: they share bands, most of them are not linked
+        t = list(base)
+        for k in r.sample(range(150), 4):
+            t[k] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    # Both halves of one pair stand anywhere in the blocks, and have to be found.
+    rows.append((900, rows[7][1] + " end"))
+    plain, most = odd_sketch._links_between, 16 * 3
+
+    def watched(percent):
+        held = plain(percent)
+
+        def run(asking, against):
+            if max(asking.num_rows, against.num_rows) > most:
+                raise ValueError(f"one task holds {asking.num_rows} against {against.num_rows} members")
+            return held(asking, against)
+
+        return run
+
+    monkeypatch.setattr(odd_sketch, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(odd_sketch, "_links_between", watched)
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, t in rows for w in [t.split()]}
+    links = [(a, b) for a in sets for b in sets
+             if a < b and 5 * (c := len(sets[a] & sets[b])) >= 4 * (len(sets[a]) + len(sets[b]) - c)]
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in odd_sketch.near_groups(df, width=4).collect()}
+    assert got == root and len(set(root.values())) > 100
