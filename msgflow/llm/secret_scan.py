@@ -32,7 +32,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run is greedy and ends at another character, so the shortest length can stand in the pattern.
 HEX = re.compile(r"[0-9a-f]{24,}")
 ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]{1,})*={0,2}")
+#: First line of a key in base64: it starts with a DER sequence or the magic word of OpenSSH.
+BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\n))(?=M|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{40,}")
+LETTERS = re.compile(r"[A-Za-z0-9+/]+")
+#: Lines end with a line break or, in JSON and env strings, with its escape.
+LINE_END = re.compile(r"\r?\n|(?:\\{1,2}r)?\\{1,2}n")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
@@ -59,7 +63,7 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """Whether bytes are a private key in DER: PKCS#1, PKCS#8 or an elliptic curve key."""
+    """Whether bytes are a private key in DER: PKCS#1, PKCS#8, DSA or an elliptic curve key."""
     outer = der_items(data) if data[:1] == b"\x30" else None
     if not outer or len(outer) != 1:
         return False
@@ -67,8 +71,13 @@ def is_der_key(data: bytes) -> bool:
     if not parts or parts[0][0] != INTEGER or len(parts[0][1]) != 1:
         return False
     tags = [t for t, _ in parts]
+    shortest = all(c and (len(c) == 1 or c[0] or c[1] >= 0x80) for t, c in parts[:9] if t == INTEGER)
     if len(parts) >= 9 and tags[:9] == [INTEGER] * 9:
-        return all(c and (len(c) == 1 or c[0] or c[1] >= 0x80) for _, c in parts[:9])
+        return shortest
+    if tags == [INTEGER] * 6:
+        # DSA: version 0, p, q, g, public and private number; q has 160 bits at least, and p is longer.
+        p, q, g, public, private = (int.from_bytes(c, "big") for _, c in parts[1:])
+        return shortest and parts[0][1] == b"\0" and q.bit_length() >= 160 and p > max(q, g, public) and 0 < private < q
     if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:
         algorithm = der_items(parts[1][1])
         return bool(algorithm) and algorithm[0][0] == OID and len(parts[2][1]) >= 16
@@ -104,6 +113,64 @@ def _unbase64(text: str, url: bool = False) -> bytes | None:
         return None
 
 
+def der_size(data: bytes) -> int | None:
+    """Bytes of the value that ``data`` starts with, if it is a sequence that starts with a version."""
+    if len(data) < 12 or data[0] != SEQUENCE:
+        return None
+    width = data[1] & 0x7F if data[1] >= 0x80 else 0
+    if width > 4 or data[1] == 0x80 or data[2 + width : 4 + width] != b"\x02\x01":
+        return None
+    return 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Bytes up to the end of the last field of an OpenSSH key."""
+    at = len(b"openssh-key-v1\0")
+    for numbered in (False, False, False, True, False, False):
+        if at + 4 > len(data):
+            return None
+        at += 4 + (0 if numbered else int.from_bytes(data[at : at + 4], "big"))
+    return at
+
+
+def _letters(text: str, at: int, most: int) -> tuple[str, int]:
+    """Up to ``most`` base64 letters from ``at`` on, over line ends, and where they end."""
+    lines, n, end = [], 0, at
+    while m := LETTERS.match(text, at, at + most - n):
+        lines.append(m[0])
+        n, end = n + len(m[0]), m.end()
+        gap = LINE_END.match(text, end)
+        if n == most or not gap:
+            break
+        at = gap.end()
+    return "".join(lines), end
+
+
+def base64_key(text: str, at: int) -> tuple[int, int] | None:
+    """Kind and end of the key in base64 that starts at ``at``; it ends where its own lengths say."""
+    head = _unbase64(text[at : at + 40]) or b""
+    if head[:1] == b"\x30":
+        size = der_size(head)
+    else:
+        size = openssh_size(_unbase64(_whole(_letters(text, at, len(text))[0])) or b"")
+    letters = -(-(size or 0) * 4 // 3)
+    if not 0 < letters <= len(text) - at:
+        return None
+    run, end = _letters(text, at, letters)
+    key = _unbase64(run) if len(run) == letters else None
+    if not key or not (is_der_key(key) or is_openssh_key(key)):
+        return None
+    pad = -letters % 4
+    while pad and text[end : end + 1] == "=":
+        end, pad = end + 1, pad - 1
+    return (3 if key[:1] == b"\x30" else 4), end
+
+
+def _whole(letters: str) -> str:
+    """Without a last letter that holds no whole byte."""
+    return letters[:-1] if len(letters) % 4 == 1 else letters
+
+
 def is_signed_token(text: str) -> bool:
     """Whether header and payload of a dotted token are JSON objects and the header names an algorithm."""
     try:
@@ -132,10 +199,13 @@ def confirmed_spans(text: str) -> list[Span]:
     for m in ANY_HEX.finditer(text):
         if is_der_key(bytes.fromhex(m[0])):
             spans.append((m.start(), 3, m.end()))
-    for m in BASE64.finditer(text):
-        data = _unbase64(m[0])
-        if data and (is_der_key(data) or is_openssh_key(data)):
-            spans.append((m.start(), 3 if data[:1] == b"\x30" else 4, m.end()))
+    at = 0
+    while m := BASE64.search(text, at):
+        found = base64_key(text, m.start())
+        if found:
+            spans.append((m.start(), *found))
+        # Behind a key, or behind the first line of what is none: the next line may start one.
+        at = found[1] if found else m.end()
     if "eyJ" in text:
         spans += [(m.start(), 5, m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
     return spans
@@ -169,7 +239,8 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ``spans`` lists kind:start:end in code points, end exclusive, by start and then by kind;
     ``base_sha256`` is the digest of that list for the three plain kinds. Null and empty texts have
     none. Rows that repeat are scanned alike; an empty table gives no rows; other columns are not
-    looked at. Whole texts are scanned, one at a time, in time linear in their length.
+    looked at. Whole texts are scanned, one at a time, in time linear in their length
+    unless their lines are built like starts of keys.
     """
     kind = docs.schema[key].dataType.simpleString()
     return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(

@@ -225,3 +225,35 @@ def test_no_task_holds_all_unlinked_members_of_a_band(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {x.doc_id: x.component_id for x in odd_sketch.near_groups(df, width=4).collect()}
     assert got == root and len(set(root.values())) > 100
+
+
+def long_key(fill):
+    return der(0x30, der(2, b"\0"), *[der(2, b"\x01" * n) for n in (128, 3, 128, 64, 64, 64, 64, fill)])
+
+
+@pytest.mark.parametrize("fill", [62, 63, 64])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n"])
+def test_a_key_ends_where_its_lengths_say(fill, end):
+    raw = base64.b64encode(long_key(fill)).decode()
+    wrapped = end.join(raw[i : i + 64] for i in range(0, len(raw), 64))
+    text = f"BEGIN{end}{wrapped}{end}word and more{end}{'Q' * 64}{end}{wrapped}{end}{wrapped}{end}END"
+    first = text.index(wrapped)
+    second = text.index(wrapped, first + 1)
+    third = text.index(wrapped, second + 1)
+    assert secret_scan.confirmed_spans(text) == [(i, 3, i + len(wrapped)) for i in (first, second, third)]
+
+
+def test_dsa_and_openssh_keys_among_other_lines():
+    number = lambda first, n: der(2, bytes([first]) + b"\x05" * (n - 1))
+    parts = [der(2, b"\0"), number(0x7F, 128), number(0x7F, 21), number(0x11, 128), number(0x12, 128), number(0x13, 20)]
+    for end in ("\n", "\\n"):
+        key = base64.b64encode(der(0x30, *parts)).decode()
+        assert secret_scan.confirmed_spans(f"x{end}{key}{end}word") == [(1 + len(end), 3, 1 + len(end) + len(key))]
+    wrong = base64.b64encode(der(0x30, *parts[:5], number(0x7F, 21))).decode()
+    assert secret_scan.confirmed_spans(wrong) == []
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    for n in (89, 90, 91):
+        ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 51) + field(b"s" * n)
+        key = base64.b64encode(ssh).decode()
+        for end in ("\n", "\\n"):
+            assert secret_scan.confirmed_spans(f"{key}{end}word") == [(0, 4, len(key))]
