@@ -37,6 +37,10 @@ LONG_TEXT = 200_000
 SCALE = 20.0
 #: Deviations by which a row's share of texts must differ between the classes, in how many texts at least.
 CLEAR, LEAST = 6.0, 8
+#: Few labelled rows cannot show as much: then this share of the most they can, in this share of the smaller class.
+CLEAR_SHARE, LEAST_SHARE = 0.5, 0.25
+#: Log-odds where there is nothing to learn from: a score of 0.018.
+UNKNOWN = -4.0
 #: Texts whose subwords are spread out at a time.
 STRETCH = 64
 WORD = re.compile(r"\w+")
@@ -98,7 +102,9 @@ def telling_rows(bags: Bags, y: np.ndarray) -> np.ndarray:
     """Rows of the table that occur in clearly more texts of one class than of the other.
 
     The others would only learn single texts by heart; their vectors stay zero, but they count
-    in every average.
+    in every average. A row that tells n texts apart without fault differs by sqrt(n) deviations,
+    so the bounds are scaled to the labelled rows, and further down until rows remain; no row is
+    left only if none occurs more often in one class than in the other.
     """
     seen = np.zeros((2, BUCKETS))
     everything = np.ones(BUCKETS, bool)
@@ -110,7 +116,13 @@ def telling_rows(bags: Bags, y: np.ndarray) -> np.ndarray:
     n = np.array([(y == 0).sum(), (y == 1).sum()], float)[:, None]
     rate, all_rate = seen / n, seen.sum(axis=0) / len(y)
     spread = np.sqrt(np.maximum(all_rate * (1 - all_rate), 1e-9) * (1 / n).sum())
-    return (np.abs(rate[1] - rate[0]) > CLEAR * spread) & (seen.sum(axis=0) >= LEAST)
+    texts, apart = seen.sum(axis=0), np.abs(rate[1] - rate[0]) / spread
+    clear, least = min(CLEAR, CLEAR_SHARE * len(y) ** 0.5), min(LEAST, max(1, int(LEAST_SHARE * n.min())))
+    while True:
+        keep = (apart > clear) & (texts >= least)
+        if keep.any() or (least == 1 and not (apart > 1e-9).any()):
+            return keep
+        clear, least = clear * 0.75, max(1, least // 2)
 
 
 def train(texts: Sequence[str], labels: Sequence[int]) -> tuple[np.ndarray, float]:
@@ -118,9 +130,11 @@ def train(texts: Sequence[str], labels: Sequence[int]) -> tuple[np.ndarray, floa
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         # Nothing to tell apart: always the only class, or 0 without rows.
-        return np.zeros(BUCKETS, np.float32), 4.0 if len(y) and y[0] else -4.0
+        return np.zeros(BUCKETS, np.float32), -UNKNOWN if len(y) and y[0] else UNKNOWN
     bags = Bags(texts)
     keep = telling_rows(bags, y)
+    if not keep.any():
+        return np.zeros(BUCKETS, np.float32), UNKNOWN
     parts = [bags.pairs(lo, lo + STRETCH, keep) for lo in range(0, len(y), STRETCH)]
     doc, row, count = (np.concatenate(x) for x in zip(*parts))
     used, row = np.unique(row, return_inverse=True)
@@ -228,7 +242,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     """One row per row of ``docs``: key, held_out, score, predicted.
 
     Learns from ``labels`` (key, label 0 or 1; other labels and keys with both are left out),
-    never from held-out rows. Null and empty texts get the score of the bias alone. Rows that
+    never from held-out rows. If the classes have the same words, every score is low. Null and empty texts get the score of the bias alone. Rows that
     repeat score alike; an empty table gives no rows; without labels of both classes all texts
     get one score. Other columns are not looked at.
     """

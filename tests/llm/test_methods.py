@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from msgflow.llm import ball_tree, bpe, chunk_recipes, license_templates, odd_sketch, queries, secret_scan, token_counts
+from msgflow.llm import ball_tree, bpe, chunk_recipes, license_templates, odd_sketch, queries, secret_scan, token_counts, toxicity
 
 
 def merged(coder, word):
@@ -257,3 +257,21 @@ def test_dsa_and_openssh_keys_among_other_lines():
         key = base64.b64encode(ssh).decode()
         for end in ("\n", "\\n"):
             assert secret_scan.confirmed_spans(f"{key}{end}word") == [(0, 4, len(key))]
+
+
+@pytest.mark.parametrize("clean,toxic", [(40, 4), (20, 3), (3, 2), (60, 5), (5, 2), (58, 10)])
+def test_few_labelled_rows_are_learned_from(clean, toxic):
+    r = random.Random(clean)
+    plain = lambda: " ".join(r.choices(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"], k=40))
+    marked = lambda: " ".join([plain(), "grobian", "grobian", plain()])
+    texts = [plain() + " " + plain() for _ in range(clean)] + [marked() for _ in range(toxic)]
+    scorer = toxicity.Scorer(*toxicity.train(texts, [0] * clean + [1] * toxic))
+    assert all(scorer.odds(marked()) > 0 for _ in range(20))
+    assert all(scorer.odds(plain() + " " + plain()) < 0 for _ in range(20)) and scorer.odds("") < 0
+
+
+@pytest.mark.parametrize("clean,toxic", [(40, 4), (20, 3), (3, 2), (60, 5), (5, 2)])
+def test_no_difference_scores_low(clean, toxic):
+    for text in ("the same words", ""):
+        scorer = toxicity.Scorer(*toxicity.train([text] * (clean + toxic), [0] * clean + [1] * toxic))
+        assert scorer.odds(text) < -1 and scorer.odds("other") < -1
