@@ -159,9 +159,9 @@ def _signatures(width: int):
                 pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel())
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), lists,
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), lists,
                  *[pa.array(sketches[:, i].copy()) for i in range(len(SKETCH))]],
-                ["_id", "_size", "_class", "_bands", *SKETCH],
+                ["_id", "_digest", "_size", "_class", "_bands", *SKETCH],
             )
 
     return run
@@ -260,10 +260,21 @@ def near_groups(
     one document in links. A null key has component null and is kept. An empty table gives no
     rows; other columns are not looked at. Keys are integers.
     """
-    texts = small_batches(docs).select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    return _groups(docs, key, text, width, percent).drop("_digest")
+
+
+def text_digest(text: str):
+    return F.unhex(F.md5(F.col(f"`{text}`").cast("string").cast("binary")))
+
+
+def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int, digests: bool = False) -> DataFrame:
+    """``near_groups`` with the digest of each row's text, if wanted."""
+    texts = small_batches(docs).select(
+        F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"),
+        (text_digest(text) if digests else F.lit(None).cast("binary")).alias("_digest"))
     longs = ", ".join(f"{c} bigint" for c in SKETCH)
     table = materialize(texts.mapInArrow(
-        _signatures(width), f"_id bigint, _size bigint, _class binary, _bands array<bigint>, {longs}"))
+        _signatures(width), f"_id bigint, _digest binary, _size bigint, _class binary, _bands array<bigint>, {longs}"))
     usable = table.filter("_class IS NOT NULL AND _id IS NOT NULL")
     classes = materialize(usable.groupBy("_class").agg(F.min("_id").alias("_first")))
     firsts = materialize(
@@ -331,15 +342,22 @@ def near_groups(
         classes.join(roots, classes["_first"] == roots["_id"], "left")
         .select("_class", F.coalesce("_root", "_first").alias("component_id"))
     )
-    decided = table.select("_id", "_size", "_class").join(of_class, "_class", "left")
+    decided = table.select("_id", "_digest", "_size", "_class").join(of_class, "_class", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "_id"))
     return decided.select(
         F.col("_id").alias(key), F.col("_size").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"),
+        F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"), "_digest",
     )
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest key."""
-    gone = materialize(near_groups(docs, key, text, width, percent).filter("NOT kept").select(F.col(key).alias("_gone")).distinct())
-    return docs.join(gone, F.col(f"`{key}`") == gone["_gone"], "left_anti")
+    """``docs`` with one document of each component, the one with the smallest key.
+
+    Of rows that share a key but not their text, each goes or stays as ``near_groups`` marks it.
+    """
+    gone = materialize(
+        _groups(docs, key, text, width, percent, True).filter("NOT kept")
+        .select(F.col(key).alias("_gone"), F.col("_digest").alias("_gone_text")).distinct()
+    )
+    same = (F.col(f"`{key}`") == gone["_gone"]) & (text_digest(text) == gone["_gone_text"])
+    return docs.join(gone, same, "left_anti")

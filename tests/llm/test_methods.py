@@ -275,3 +275,10 @@ def test_no_difference_scores_low(clean, toxic):
     for text in ("the same words", ""):
         scorer = toxicity.Scorer(*toxicity.train([text] * (clean + toxic), [0] * clean + [1] * toxic))
         assert scorer.odds(text) < -1 and scorer.odds("other") < -1
+
+
+def test_rows_that_share_a_key_are_dropped_as_marked(spark):
+    page, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, page), (5, page.upper()), (5, other), (6, None), (None, page)]
+    kept = odd_sketch.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, page), (5, other), (6, None), (None, page)], key=str)
