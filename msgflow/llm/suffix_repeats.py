@@ -1,13 +1,12 @@
-"""Repeated byte strings by longest previous factors, over the places where repeats can be.
+"""Repeated byte strings by hash grouping, over the places where repeats can be.
 
-The longest previous factor of a place is the length of the longest string that starts there and
-also starts earlier in the corpus. In suffix order the earlier match stands at the previous or next
-suffix that starts earlier (the previous and next smaller position). ``SIZE`` bytes at a place are a
-repeat where that length, or the one of the match that starts later, is at least ``SIZE``.
+``SIZE`` bytes at a place are a repeat where the same bytes start at another place, earlier or
+later. As only equality over ``SIZE`` bytes counts, neither a suffix order nor longest previous
+factors are computed: hashes of the strings are sorted and equal neighbours are marked.
 
-A suffix order of the whole corpus is never built. Every string of ``SIZE`` bytes has an anchor in
+Every string of ``SIZE`` bytes has an anchor in
 it: the gram of ``GRAM`` bytes with the smallest hash. Equal strings have their anchor at the same
-place in them, so only strings around anchors of one gram have to be put in order:
+place in them, so only strings around anchors of one gram have to be compared:
 
 1. Texts that are equal are counted; they are repeats as a whole, and one of them stands for all.
 2. Anchors are counted by gram and by their context, the text in which all strings with this
@@ -15,7 +14,7 @@ place in them, so only strings around anchors of one gram have to be put in orde
    is in no repeat. What is left are the edges of repeats.
 3. An anchor is open if a string that it is the anchor of still has uncovered bytes. For the grams
    of open anchors, one context of each kind is moved to the gram's bin, and all strings of the
-   bin are put in suffix order, offset by offset, for their previous and next smaller positions.
+   bin are sorted by hash, offset by offset; equal neighbours are repeats.
    A gram with more than ``GROUP`` kinds of context is not gathered: its strings are counted by
    hash with partial sums, to the same end.
 
@@ -213,9 +212,7 @@ def aligned_factors(grams: np.ndarray, lefts: np.ndarray, texts: list[bytes]) ->
     """For each context the largest and smallest offset of a repeated string before its anchor (-1: none).
 
     ``lefts`` are the anchors' places in the contexts. For each offset the strings of all contexts
-    are put in suffix order (of their hashes, under the gram). The previous and the next smaller
-    position in that order belong to the matches; as only those of SIZE bytes count, a string has
-    one if a neighbour in the order is equal to it.
+    are sorted by their hashes, under the gram; a string is repeated if a neighbour is equal to it.
     """
     n, width = len(texts), REACH + SIZE
     ends = REACH - lefts + np.array([len(t) for t in texts], np.int64)
