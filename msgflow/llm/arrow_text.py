@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +40,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: Bytes of text that an operator works on at a time where its results are larger than the text.
+SLICE_BYTES = 8 << 20
+
+
+def byte_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``most`` bytes of a string column; a longer text is a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def ascii_lower() -> np.ndarray:
     """A table that lowers A-Z and keeps every other byte."""
     table = np.arange(256, dtype=np.uint8)

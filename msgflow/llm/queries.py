@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from msgflow.llm.ball_tree import top_k
 from msgflow.llm.bpe import encode_digests
 from msgflow.llm.chunk_recipes import exact_groups
+from msgflow.llm.filter_audit import filter_audit
+from msgflow.llm.id_files import id_file_report
 from msgflow.llm.license_templates import license_report
 from msgflow.llm.mixing import mix_report
 from msgflow.llm.odd_sketch import near_groups
@@ -16,6 +18,7 @@ from msgflow.llm.secret_scan import secret_spans
 from msgflow.llm.suffix_repeats import repeated_bytes
 from msgflow.llm.token_counts import section_tokens
 from msgflow.llm.toxicity import toxicity_report
+from msgflow.llm.vector_codes import ENTRIES, PARTS, ROUNDS, vector_codes
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -168,3 +171,95 @@ SELECT doc_id, size, source_size, target, CAST(size * (times + extra) AS BIGINT)
 """)
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir))
+
+
+@query("op11_filter_audit", sql=r"""
+WITH found AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w
+  FROM documents
+), marked AS (
+  SELECT doc_id, part, [
+           len(w) < 200,
+           100 * len(list_distinct(w)) < 50 * len(w),
+           100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+           regexp_matches(t, '[#$%&*|]'),
+           coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS fails
+  FROM found
+), labelled AS (
+  SELECT m.*, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+  FROM marked m LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id)
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS f
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (SELECT filter_order, f, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+sets AS (SELECT DISTINCT part, fails, good, bad, count(*) AS n FROM labelled GROUP BY ALL),
+seen AS (
+  SELECT part, filter_order, step, f[step] AS k, fails, good, bad, n, fails[f[step]] AS hit,
+         len(list_filter(f[1:step - 1], lambda i: fails[i])) > 0 AS gone
+  FROM sets, steps
+), counted AS (
+  SELECT part, filter_order, step, any_value(k) AS k,
+         coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS kept,
+         coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (hit AND len(list_filter(fails, lambda x: x)) = 1), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (hit AND NOT gone AND bad), 0) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM counted
+""")
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def _codes_sql() -> str:
+    """The rounds written out: parts as rows of components, one pair of tables for each round."""
+    steps = [f"""kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor({4096} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), comps AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(v) // {PARTS}) AS p, (i - 1) % (len(v) // {PARTS}) AS j, v[i] AS x
+  FROM (SELECT r, v, unnest(range(1, len(v) + 1)) AS i FROM kept)
+), book0 AS MATERIALIZED (SELECT p, r AS e, j, x AS c FROM comps WHERE r < {ENTRIES})"""]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, p, min(d * {ENTRIES} + e) AS de FROM (
+    SELECT r, b.p, e, sum((x - c) * (x - c)) AS d FROM comps x JOIN book{k} b ON x.p = b.p AND x.j = b.j GROUP BY r, b.p, e
+  ) GROUP BY r, p
+)""")
+        if k < ROUNDS:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.j, CASE WHEN n IS NULL THEN c ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS c
+  FROM book{k} b LEFT JOIN (
+    SELECT x.p, x.j, de % {ENTRIES} AS e, sum(x) AS s, count(*) AS n
+    FROM comps x JOIN near{k} a ON a.r = x.r AND a.p = x.p GROUP BY ALL
+  ) m ON m.p = b.p AND m.e = b.e AND m.j = b.j
+)""")
+    return "WITH " + ", ".join(steps) + f""", coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(de % {ENTRIES} AS INTEGER)), '' ORDER BY p) AS code,
+         CAST(sum(de // {ENTRIES}) AS BIGINT) AS error
+  FROM near{ROUNDS} GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{ROUNDS}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+
+
+@query("op12_vector_codes", sql=_codes_sql())
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_id_files")
+def id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_file_report(table(spark, sf_dir), vocabulary("byte_bpe_50k.json"))

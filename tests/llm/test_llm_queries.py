@@ -42,7 +42,7 @@ def test_query_equals_its_sql(spark, tables, name):
 def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_bpe_equals_the_library(spark, tables):
