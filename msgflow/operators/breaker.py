@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import NamedTuple, Optional
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from msgflow.config import BreakerPolicy
 from msgflow.operators.batching import order_for
+from msgflow.operators.lookup_files import first_at_least, write_lookup
 from msgflow.operators.segments import (
     DEFAULT_SPAN,
     NEVER,
@@ -36,10 +38,18 @@ from msgflow.operators.segments import (
     with_segments,
 )
 from msgflow.schema import LOG_KEY, check_columns
+from msgflow.session import run_dir
 
 # The three state names.
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half-open"
 
+STATES = (CLOSED, HALF_OPEN, OPEN)
+ACTIONS = ("ok", "tripped", "probe", "closed", "reopened", "continue", "rejected")
+#: Ends of an inherited open breaker that a summary holds itself; more go to a file.
+INLINE_PROBES = 64
+#: In place of a failure count: the one that the breaker came with.
+KEPT = -1
+
 STATE_SCHEMA = "state STRING, failure_count BIGINT, success_count BIGINT, last_change BIGINT"
 
 
@@ -136,78 +146,122 @@ def _next_true(flag: np.ndarray) -> np.ndarray:
     return np.append(np.minimum.accumulate(at[::-1])[::-1], n).astype(np.int64)
 
 
-def _segment_ends(ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy) -> dict:
-    """What a segment makes of every breaker it could inherit.
+class _Jumps:
+    """The breaker of a segment as jumps between its state changes.
 
     Nodes are moments at which the future depends on the rows alone: closed with
     no failures before row i, half-open with no successes before row i, opened at
     row i (the last two by trip and by reopening, which keep different failure
-    counts). Each node jumps forward to the next one; doubling the jumps gives
-    the last node of all of them in O(n log n) array operations.
+    counts). Each node jumps forward to the next one, or to itself at the end.
     """
-    n, width = len(ok), len(ok) + 1
-    threshold, attempts = policy.threshold, policy.half_open_attempts
-    rows = np.arange(width, dtype=np.int64)
-    next_fail, next_ok = _next_true(~ok), _next_true(ok)
-    fails = np.flatnonzero(~ok).astype(np.int64)
-
-    # Closed at i: the first `threshold` failures in a row that start at or after i.
-    starts_run = ~ok & (next_ok[:n] - rows[:n] >= threshold)
-    trip = np.minimum(_next_true(starts_run) + threshold - 1, n)
-    # Opened at i: the first later failure past the cooldown is the probe.
-    fail_us = us[fails]
-    after = np.searchsorted(fails, rows[:n], side="right")
-    probe = np.append(fails, n)[first_reaching(fail_us, after, as_start(us) + policy.cooldown_ms * 1000)]
-
-    closed, half_t, half_r, open_t, open_r = (k * width for k in range(5))
-    jump = np.arange(5 * width, dtype=np.int64)
-    jump[closed : closed + width] = np.where(trip < n, open_t + trip, closed + rows)
-    for half, opened in ((half_t, open_t), (half_r, open_r)):
-        jump[half : half + width] = np.where(
-            next_fail - rows >= attempts,
-            closed + np.minimum(rows + attempts, n),
-            np.where(next_fail < n, open_r + next_fail, half + rows),
-        )
-        jump[opened : opened + n] = np.where(probe < n, half + probe + 1, opened + rows[:n])
-    end = chain_ends(jump)
+
+    def __init__(self, ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy):
+        self.ok, self.us, self.policy = ok, us, policy
+        n, width = len(ok), len(ok) + 1
+        self.n, self.width = n, width
+        threshold, attempts = policy.threshold, policy.half_open_attempts
+        rows = np.arange(width, dtype=np.int64)
+        self.next_fail, self.next_ok = _next_true(~ok), _next_true(ok)
+        self.fails = np.flatnonzero(~ok).astype(np.int64)
+        self.fail_us = us[self.fails]
+
+        # Closed at i: the first `threshold` failures in a row that start at or after i.
+        starts_run = ~ok & (self.next_ok[:n] - rows[:n] >= threshold)
+        trip = np.minimum(_next_true(starts_run) + threshold - 1, n)
+        # Opened at i: the first later failure past the cooldown is the probe.
+        after = np.searchsorted(self.fails, rows[:n], side="right")
+        probe = np.append(self.fails, n)[
+            first_reaching(self.fail_us, after, as_start(us) + policy.cooldown_ms * 1000)
+        ]
+        self.closed, self.half_t, self.half_r, self.open_t, self.open_r = (k * width for k in range(5))
+        jump = np.arange(5 * width, dtype=np.int64)
+        jump[:width] = np.where(trip < n, self.open_t + trip, rows)
+        for half, opened in ((self.half_t, self.open_t), (self.half_r, self.open_r)):
+            jump[half : half + width] = np.where(
+                self.next_fail - rows >= attempts,
+                self.closed + np.minimum(rows + attempts, n),
+                np.where(self.next_fail < n, self.open_r + self.next_fail, half + rows),
+            )
+            jump[opened : opened + n] = np.where(probe < n, half + probe + 1, opened + rows[:n])
+        self.jump = jump
+
+    def probe_from(self, opened: int) -> int:
+        """The row that probes a breaker opened at this time before the segment; n when none does."""
+        late = first_reaching(self.fail_us, np.array([0]), np.array([opened + self.policy.cooldown_ms * 1000]))
+        return int(np.append(self.fails, self.n)[late[0]])
+
+    def path(self, node: int) -> np.ndarray:
+        """The node and all that follow it, by doubling."""
+        path, hop = np.array([node]), self.jump
+        while hop[path[-1]] != path[-1]:
+            path, hop = np.concatenate([path, hop[path]]), hop[hop]
+        steady = np.flatnonzero(self.jump[path] == path)
+        return path[: steady[0] + 1] if len(steady) else path
+
+
+def _segment_ends(ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy, folder: str = "") -> dict:
+    """What a segment makes of every breaker it could inherit.
+
+    Doubling the jumps gives the last node of all of them in O(n log n) array operations. An
+    inherited open breaker can end in as many states as there are failures to probe it; where
+    these are more than ``INLINE_PROBES``, they go to a file that answers the one question
+    that the fold has, and the summary holds its path.
+    """
+    jumps = _Jumps(ok, us, policy)
+    n, width, threshold = jumps.n, jumps.width, policy.threshold
+    end = chain_ends(jumps.jump)
     oks = np.flatnonzero(ok)
     fail_tail = n - (int(oks[-1]) + 1 if len(oks) else 0)
 
-    def breaker_at(node: int, entered: int = -1) -> dict:
-        last, row = divmod(int(end[node]), width)
-        if last == 0:
-            b = Breaker(CLOSED, min(fail_tail, n - row))
-        elif last <= 2:
-            # Entered half-open and stayed there: keeps the failure count it came with.
-            kept = -1 if int(end[node]) == entered else (threshold if last == 1 else 0)
-            b = Breaker(HALF_OPEN, kept, n - row)
-        else:
-            b = Breaker(OPEN, threshold if last == 3 else 0, 0, int(as_start(us[row])))
-        return b._asdict()
-
-    lead_fails, lead_oks = int(next_ok[0]), int(next_fail[0])
-    probes, probe_us = [], []
-    if len(fails):
+    def ends_at(nodes: np.ndarray, entered: bool = False) -> np.ndarray:
+        """State number, failures, successes and time of opening, one row for each node."""
+        kind, row = np.divmod(end[nodes], width)
+        out = np.zeros((len(nodes), 4), np.int64)
+        out[:, 0] = np.array([0, 1, 1, 2, 2])[kind]
+        out[:, 1] = np.select(
+            [kind == 0, (kind == 1) | (kind == 3)], [np.minimum(fail_tail, n - row), threshold], 0
+        )
+        if entered:  # entered half-open and stayed there: keeps the failure count it came with
+            out[end[nodes] == nodes, 1] = KEPT
+        out[:, 2] = np.where((kind == 1) | (kind == 2), n - row, 0)
+        opened = kind >= 3
+        out[opened, 3] = as_start(us[row[opened]])
+        return out
+
+    one = lambda node: _breaker_of(ends_at(np.array([node]))[0].tolist())._asdict()
+    some = lambda nodes: [_breaker_of(r)._asdict() for r in ends_at(np.asarray(nodes, np.int64)).tolist()]
+    lead_fails, lead_oks = int(jumps.next_ok[0]), int(jumps.next_fail[0])
+    probes, probe_us, file = [], [], None
+    if len(jumps.fails):
         # Neighbouring probes mostly lead to one end: keep one entry per end.
-        nodes = half_r + fails + 1
-        change = np.flatnonzero(np.diff(end[nodes])) if len(nodes) > 1 else np.array([], int)
-        lasts = np.append(change, len(nodes) - 1)
-        reached = np.maximum.accumulate(fail_us)
-        probes = [breaker_at(int(nodes[i]), int(nodes[i])) for i in lasts]
-        probe_us = [int(reached[i]) for i in lasts]
+        nodes = jumps.half_r + jumps.fails + 1
+        lasts = np.append(np.flatnonzero(np.diff(end[nodes])), len(nodes) - 1)
+        reached, found = np.maximum.accumulate(jumps.fail_us)[lasts], ends_at(nodes[lasts], entered=True)
+        if len(lasts) > INLINE_PROBES:
+            file = f"{folder}/probes-{uuid.uuid4().hex}"
+            write_lookup(file, reached, found)
+        else:
+            probes = [_breaker_of(r)._asdict() for r in found.tolist()]
+            probe_us = reached.tolist()
     return {
         "_rows": n,
         "_lead_fails": lead_fails,
         "_lead_oks": lead_oks,
-        "_trips": [breaker_at(open_t + j) for j in range(min(threshold, lead_fails))],
-        "_resets": breaker_at(closed + lead_fails),
-        "_closes": [breaker_at(closed + i) for i in range(1, min(attempts, lead_oks) + 1)],
-        "_reopens": breaker_at(open_r + lead_oks) if lead_oks < n else Breaker()._asdict(),
+        "_trips": some(jumps.open_t + np.arange(min(threshold, lead_fails))),
+        "_resets": one(jumps.closed + lead_fails),
+        "_closes": some(jumps.closed + np.arange(1, min(policy.half_open_attempts, lead_oks) + 1)),
+        "_reopens": one(jumps.open_r + lead_oks) if lead_oks < n else Breaker()._asdict(),
         "_probes": probes,
         "_probe_us": probe_us,
+        "_probe_file": file,
+        "_last_probe_us": int(jumps.fail_us.max()) if len(jumps.fails) else NO_TIME,
     }
 
 
+def _breaker_of(row: list[int]) -> Breaker:
+    return Breaker(STATES[row[0]], *row[1:])
+
+
 def _inherit_breaker(b: Breaker, row: dict, policy: BreakerPolicy) -> Breaker:
     """The breaker after a segment, from the one before it and the segment's summary."""
     n = row["_rows"]
@@ -223,12 +277,81 @@ def _inherit_breaker(b: Breaker, row: dict, policy: BreakerPolicy) -> Breaker:
         if row["_lead_oks"] == n:
             return b._replace(successes=b.successes + n)
         return Breaker(**row["_reopens"])
-    probe_us = row["_probe_us"].to_numpy()
-    at = int(np.searchsorted(probe_us, b.last + policy.cooldown_ms * 1000, "left"))
-    if at >= len(probe_us):
+    due = b.last + policy.cooldown_ms * 1000
+    if row["_last_probe_us"] < due:
         return b
-    after = Breaker(**row["_probes"][at].as_py())
-    return after._replace(failures=b.failures) if after.failures < 0 else after
+    if row["_probe_file"] is not None:
+        after = _breaker_of(first_at_least(row["_probe_file"], due))
+    else:
+        at = int(np.searchsorted(row["_probe_us"].to_numpy(), due, "left"))
+        after = Breaker(**row["_probes"][at].as_py())
+    return after._replace(failures=b.failures) if after.failures == KEPT else after
+
+
+def _pieces(b: Breaker, jumps: _Jumps) -> list[np.ndarray]:
+    """The stretches of rows between state changes: state number, first row, failures, successes.
+
+    ``failures`` is what an open or half-open breaker keeps, or what a closed one came with.
+    The stretch in which the inherited state counts is worked out here; from the next
+    node on, all follows from the jumps.
+    """
+    policy, n = jumps.policy, jumps.n
+    first: list[tuple[int, int, int, int]] = []
+    state, row, failures, successes, node = STATES.index(b.state), 0, b.failures, b.successes, None
+    if b.state == OPEN:
+        first.append((2, 0, failures, 0))
+        probe = jumps.probe_from(b.last)
+        state, row, successes = (2, n, 0) if probe >= n else (1, probe + 1, 0)
+    if state == 1:
+        first.append((1, row, failures, successes))
+        fail = int(jumps.next_fail[row])
+        if fail - row >= policy.half_open_attempts - successes:
+            node = jumps.closed + row + policy.half_open_attempts - successes
+        elif fail < n:
+            node = jumps.open_r + fail
+    elif state == 0:
+        lead = int(jumps.next_ok[0])
+        if failures == 0:
+            node = jumps.closed
+        else:
+            first.append((0, 0, failures, 0))
+            if failures + lead >= policy.threshold:
+                node = jumps.open_t + policy.threshold - failures - 1
+            elif lead < n:
+                node = jumps.closed + lead
+    head = np.array(first, np.int64).reshape(-1, 4).T
+    if node is None:
+        return list(head)
+    kind, at = np.divmod(jumps.path(node), jumps.width)
+    kept = np.array([0, policy.threshold, 0, policy.threshold, 0])[kind]
+    tail = (np.array([0, 1, 1, 2, 2])[kind], at + (kind >= 3), kept, np.zeros_like(at))
+    return [np.concatenate([a, t]) for a, t in zip(head, tail)]
+
+
+def _replayed(b: Breaker, ok: np.ndarray, us: np.ndarray, policy: BreakerPolicy) -> dict[str, np.ndarray]:
+    """State before and after, counts and action of every row, as arrays."""
+    n = len(ok)
+    states, starts, failures, successes = _pieces(b, _Jumps(ok, us, policy))
+    lengths = np.diff(np.append(starts, n))
+    here = lambda x: np.repeat(x, lengths)
+    rows, state, start, came = np.arange(n), here(states), here(starts), here(failures)
+    # The last row of a stretch makes the change to the next one's state.
+    after = state.copy()
+    ends = starts[1:] - 1
+    moved = (ends >= 0) & (lengths[:-1] > 0)
+    after[ends[moved]] = states[1:][moved]
+    changed = after != state
+    since_ok = rows - np.maximum.accumulate(np.where(ok, rows, -1))  # failures in a row up to each row
+    inside = rows - start + 1
+    run = np.where(since_ok >= inside, inside + came, since_ok)
+    closed, half = state == 0, state == 1
+    count = np.select([closed, half & changed], [np.where(ok, 0, run), 0], came)
+    wins = np.where(half & ~changed, here(successes) + inside, 0)
+    action = np.select(
+        [changed & closed, changed & (state == 2), changed & (after == 0), changed, ok, closed],
+        [1, 2, 3, 4, 0, 5], 6,
+    )
+    return {"before": state, "after": after, "failures": count, "successes": wins, "action": action}
 
 
 _BREAKER_STRUCT = T.StructType(
@@ -271,23 +394,18 @@ def circuit_breaker(
 
     def replay(log: pa.Table, start: pa.Table) -> pa.Table:
         log = log.sort_by(sort_keys)
-        b = Breaker(**start.column("_before")[0].as_py())
-        states, counts, wins, actions = [b.state], [], [], []
-        oks = log.column("ok").to_numpy().tolist()
-        for ok, now in zip(oks, micros(log.column("_us")).tolist()):
-            b, action = breaker_step(b, ok, now, policy)
-            states.append(b.state)
-            counts.append(b.failures)
-            wins.append(b.successes)
-            actions.append(action)
+        done = _replayed(
+            Breaker(**start.column("_before")[0].as_py()),
+            log.column("ok").to_numpy().astype(bool), micros(log.column("_us")), policy,
+        )
         return pa.table(
             {
                 **{c: log.column(c) for c in identity},
-                "state_before": states[:-1],
-                "state_after": states[1:],
-                "failure_count": pa.array(counts, pa.int64()),
-                "success_count": pa.array(wins, pa.int64()),
-                "action": actions,
+                "state_before": pa.array(STATES).take(pa.array(done["before"])),
+                "state_after": pa.array(STATES).take(pa.array(done["after"])),
+                "failure_count": pa.array(done["failures"], pa.int64()),
+                "success_count": pa.array(done["successes"], pa.int64()),
+                "action": pa.array(ACTIONS).take(pa.array(done["action"])),
             }
         )
 
@@ -318,17 +436,20 @@ def _inherited_breakers(df, policy, by, order, span, initial):
             T.StructField("_reopens", _BREAKER_STRUCT),
             T.StructField("_probes", T.ArrayType(_BREAKER_STRUCT)),
             T.StructField("_probe_us", T.ArrayType(T.LongType())),
+            T.StructField("_probe_file", T.StringType()),
+            T.StructField("_last_probe_us", T.LongType()),
         ]
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
     summary_arrow = to_arrow_schema(summary_schema)
+    folder = run_dir(df.sparkSession, "breaker")
 
     def summarise(table: pa.Table) -> pa.Table:
         table = table.sort_by(sort_keys)
         ends = _segment_ends(
             table.column("ok").to_numpy().astype(bool),
-            micros(table.column("_us")), policy,
+            micros(table.column("_us")), policy, folder,
         )
         keys = {c: a[0].as_py() for c, a in key_arrays(table, by).items()}
         return pa.Table.from_pylist([{**keys, **ends}], schema=summary_arrow)

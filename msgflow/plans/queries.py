@@ -28,6 +28,7 @@ from msgflow.plans.registry import (
     LOG_SQL,
     NUMBERED_SQL,
     ROUTED_SQL,
+    long_cooldown_sql,
     query,
     redelivered_sql,
 )
@@ -836,6 +837,19 @@ def circuit_breaker_redelivered(spark, sf_dir):
     return breaker.circuit_breaker(rows, BREAKER, span=pick_span(rows)).select(*BREAKER_COLUMNS)
 
 
+LONG_COOLDOWN = BreakerPolicy(threshold=2, cooldown_ms=2 * 86_400_000, half_open_attempts=2)
+
+
+@query(
+    "circuit_breaker_long_cooldown",
+    f"WITH RECURSIVE {long_cooldown_sql(BREAKER_SQL)} SELECT {BREAKER_SELECT} FROM breaker_log",
+)
+def circuit_breaker_long_cooldown(spark, sf_dir):
+    """Most rows fail, and a cooldown outlasts segments full of failures."""
+    rows = apply_handler(event_log(spark, sf_dir), column_handler(F.col("event_type") != "error", bad_event()))
+    return breaker.circuit_breaker(rows, LONG_COOLDOWN, span=pick_span(rows)).select(*BREAKER_COLUMNS)
+
+
 @query(
     "breaker_summary",
     f"""WITH RECURSIVE {BREAKER_SQL},

@@ -110,6 +110,26 @@ breaker_log AS (
 )"""
 
 
+def long_cooldown_sql(sql: str) -> str:
+    """The same SQL where all but error events fail and a breaker stays open for two days."""
+    changed = sql.replace("event_type <> 'error' AS ok", "event_type = 'error' AS ok").replace(
+        "INTERVAL 30 MINUTE", "INTERVAL 2 DAY"
+    )
+    if changed.count("INTERVAL 2 DAY") != 1 or "event_type = 'error' AS ok" not in changed:
+        raise ValueError("the outcome and the cooldown are named in one place")
+    return changed
+
+
+#: The slice of the growing log that a message comes in, by its offset.
+SLICED_SQL = LOG_SQL + """,
+bounds AS (SELECT min(off) AS low, max(off) + 1 - min(off) AS width FROM log),
+sliced AS (
+  SELECT log.*, CASE WHEN off >= low + 3 * width // 4 THEN 3 WHEN off >= low + 2 * width // 4 THEN 2
+                     WHEN off >= low + width // 4 THEN 1 ELSE 0 END AS slice
+  FROM log, bounds
+)"""
+
+
 def redelivered_sql(sql: str) -> str:
     """The same SQL over a log in which every tenth message is delivered twice."""
     once, twice = "FROM log\n)", "FROM (SELECT * FROM log UNION ALL SELECT * FROM log WHERE off % 10 = 0)\n)"

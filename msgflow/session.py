@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,6 +37,14 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path in the shared folder, for tasks that write files of their own.
+
+    Local or mounted folders, HDFS and object stores, as far as pyarrow is built with them.
+    """
+    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete the tables this application has written for itself. No frame made before may be read later."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
@@ -53,6 +63,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Bytes that the planner expects of a frame; of a table, those of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def ship_package(spark: SparkSession) -> str:
     """Give the package to executors that do not have it installed.
 

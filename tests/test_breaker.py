@@ -172,3 +172,95 @@ def test_routes_without_retry(make):
     ]
     assert rows[1].stop_error == "circuit breaker opened after 2 consecutive failures"
     assert rows[4].stop_error == "circuit breaker reopened after half-open failure: e4"
+
+
+def arrays(rng, n, fail, policy):
+    import numpy as np
+
+    ok = np.array([rng.random() >= fail for _ in range(n)], bool)
+    us = np.cumsum([rng.randint(0, 4) for _ in range(n)]) * 1000 + np.array([rng.randint(-2000, 2000) for _ in range(n)])
+    if n and rng.random() < 0.2:
+        us[rng.randrange(n)] = K.NO_TIME
+    state = rng.choice([
+        K.Breaker("closed", rng.randrange(policy.threshold)),
+        K.Breaker("half-open", rng.choice([0, policy.threshold]), rng.randrange(policy.half_open_attempts)),
+        K.Breaker("open", rng.choice([0, policy.threshold]), 0, rng.randint(-20_000, 20_000)),
+    ])
+    return ok, us.astype(np.int64), state
+
+
+class Cell:
+    """A list element as a fold sees it."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def as_py(self):
+        return self.value
+
+
+def summary_row(ends):
+    import numpy as np
+
+    row = {**ends, **{k: [Cell(v) for v in ends[k]] for k in ("_trips", "_closes", "_probes")}}
+    times = np.array(ends["_probe_us"], np.int64)
+    row["_probe_us"] = type("Times", (), {"to_numpy": lambda self: times})()
+    return row
+
+
+@pytest.mark.parametrize("inline", [0, 2, 64])
+def test_arrays_equal_the_steps(tmp_path, monkeypatch, inline):
+    monkeypatch.setattr(K, "INLINE_PROBES", inline)
+    rng = random.Random(inline)
+    for _ in range(1500):
+        policy = BreakerPolicy(rng.randint(1, 4), rng.randint(1, 20), rng.randint(1, 3))
+        ok, us, start = arrays(rng, rng.randint(1, 40), rng.random(), policy)
+        expected, end = loop(list(zip(ok.tolist(), us.tolist())), policy, start)
+        got = K._replayed(start, ok, us, policy)
+        assert expected == [
+            (K.STATES[a], K.STATES[b], f, s, K.ACTIONS[x])
+            for a, b, f, s, x in zip(*(got[k].tolist() for k in ("before", "after", "failures", "successes", "action")))
+        ]
+        ends = K._segment_ends(ok, us, policy, str(tmp_path))
+        assert K._inherit_breaker(start, summary_row(ends), policy) == end
+
+
+def test_summary_of_many_failures_inside_one_cooldown_is_small(tmp_path):
+    """Every failure could be the probe and ends in a state of its own; the summary does not grow with them."""
+    import numpy as np
+
+    n = 200_000
+    policy = BreakerPolicy(2, 1_000_000, 2)
+    us = np.arange(n, dtype=np.int64) * 1000
+    ends = K._segment_ends(np.zeros(n, bool), us, policy, str(tmp_path))
+    assert len(ends["_probes"]) == len(ends["_probe_us"]) == 0 and ends["_probe_file"]
+    assert len(ends["_trips"]) <= policy.threshold and len(ends["_closes"]) <= policy.half_open_attempts
+    for late in (0, 5, 150_000, n - 2):
+        start = K.Breaker("open", 2, 0, int(us[late]) - policy.cooldown_ms * 1000)
+        _, end = loop(zip([False] * (n - late), us[late:].tolist()), policy, start)
+        assert K._inherit_breaker(start, summary_row(ends), policy) == end
+
+
+def test_lookup_files_find_the_first_key(tmp_path):
+    import numpy as np
+
+    from msgflow.operators import lookup_files as L
+
+    rng = np.random.default_rng(1)
+    for n in (1, 3, L.PAGE - 1, L.PAGE, L.PAGE + 1, 3 * L.PAGE):
+        keys = np.sort(rng.integers(0, 2 * n, n))
+        L.write_lookup(f"{tmp_path}/{n}", keys, np.stack([keys, np.arange(n)], axis=1))
+        for key in (-1, 0, n, int(keys[n // 2]), int(keys[-1]), int(keys[-1]) + 1):
+            at = int(np.searchsorted(keys, key))
+            assert L.first_at_least(f"{tmp_path}/{n}", key) == ([int(keys[at]), at] if at < n else None)
+
+
+def test_long_cooldowns_go_through_files(make, monkeypatch):
+    monkeypatch.setattr(K, "INLINE_PROBES", 0)
+    policy = BreakerPolicy(2, 60_000, 2)
+    df = make(random_outcomes(21, 600, 0.8, 3, 2), SCHEMA).repartition(4)
+    rows = K.circuit_breaker(df, policy, span=9).collect()
+    for p in (0, 1, 2):
+        mine, plain = key_rows(rows, p)
+        expected, _ = loop(plain, policy)
+        assert expected == [(r.state_before, r.state_after, r.failure_count, r.success_count, r.action) for r in mine]
