@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from typing import Optional
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.config import StreamPolicy
+from msgflow.config import RetryPolicy, StreamPolicy
 from msgflow.functions import headers as H
 from msgflow.operators import strategies
 from msgflow.operators.handler import column_handler
 from msgflow.operators.segments import pick_span
-from msgflow.plans.event_log import event_log
+from msgflow.plans.event_log import PREFIX, event_log
 from msgflow.plans.queries import (
     BATCH,
     BREAKER,
@@ -23,13 +26,16 @@ from msgflow.plans.queries import (
     bad_event,
     native_handler,
 )
-from msgflow.plans.registry import BATCHES_SQL, BREAKER_SQL, LOG_SQL, query
+from msgflow.plans.registry import BATCHES_SQL, BREAKER_SQL, LOG_SQL, SLICED_SQL, query
 from msgflow.session import materialize, run_dir
+from msgflow.sources.sinks import write_rows
 from msgflow.sources.topics import stream_log
+from msgflow.streaming.retry_path import run_retry_path
 from msgflow.streaming.runner import RunFolders, StreamRun, read_results, run_stream
 from msgflow.streaming.stateful import ROCKSDB, hold_until_due
 
 SLICES = 4
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 class GrowingLog:
@@ -46,11 +52,14 @@ class GrowingLog:
     def start_of(self, number: int) -> int:
         return self.low + number * (self.high + 1 - self.low) // self.slices
 
-    def append(self, number: int) -> None:
+    def append(
+        self, number: int, change: Optional[Callable[[DataFrame], DataFrame]] = None, files: Optional[int] = None
+    ) -> None:
         part = self.log.filter(
             (F.col("offset") >= self.start_of(number)) & (F.col("offset") < self.start_of(number + 1))
         )
-        part.write.mode("append").parquet(self.folder)
+        part = part if change is None else change(part)
+        (part if files is None else part.coalesce(files)).write.mode("append").parquet(self.folder)
 
     def stream(self, max_per_trigger=None) -> DataFrame:
         return stream_log(self.spark, self.folder, max_per_trigger, schema=self.log.schema)
@@ -204,22 +213,22 @@ def commit_breaker_stop(spark, sf_dir):
 
 @query(
     "rate_limits",
-    "SELECT count(*) AS messages, true AS one_file_each FROM events",
+    f"""WITH {SLICED_SQL} SELECT CAST(slice AS BIGINT) AS micro_batch, part AS "partition",
+    count(*) AS messages, min(off) AS first_offset, max(off) AS last_offset
+    FROM sliced GROUP BY slice, part""",
 )
 def rate_limits(spark, sf_dir):
-    """One file per micro-batch: as many micro-batches as files, no message lost."""
+    """Admission by files: what each micro-batch took of a log that was there at once."""
     log, folder = GrowingLog(spark, sf_dir), run_dir(spark, "rate-limits")
     for number in range(log.slices):
-        log.append(number)
-    files = log.spark.read.parquet(log.folder).select(F.input_file_name().alias("f")).distinct()
+        log.append(number, files=1)
     policy = StreamPolicy(max_per_trigger=1)
     run_stream(
         log.stream(policy.max_per_trigger), folder, native_handler(), stream_policy=policy
     ).start().drain()
     done = read_results(spark, RunFolders(folder).outcomes)
-    return done.groupBy().agg(
-        F.count(F.lit(1)).alias("messages"),
-        (F.count_distinct("micro_batch") == F.lit(files.count())).alias("one_file_each"),
+    return done.groupBy(F.col("micro_batch").cast("bigint").alias("micro_batch"), "partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
 
 
@@ -252,27 +261,95 @@ def stream_breaker(spark, sf_dir):
     return read_results(spark, RunFolders(folder).outcomes).select(*BREAKER_COLUMNS)
 
 
+#: A message is held for so long after its slice was written.
+HOLD_MS = 12_000
+#: Time that the query waits for the timers.
+RELEASE_S = 120
+
+
 @query(
     "retry_stream",
-    f"""WITH {LOG_SQL} SELECT {PART_OFF}, event_type AS event_type_header, h_time AS retry_time
-    FROM log""",
+    f"""WITH {LOG_SQL} SELECT {PART_OFF}, event_type AS event_type_header, off % 4 = 0 AS held FROM log""",
 )
 def retry_stream(spark, sf_dir):
-    """Retry messages released once due (all of the log's retry times have passed)."""
+    """Every fourth message falls due later: a timer releases it in a micro-batch after its own."""
     log, folder = GrowingLog(spark, sf_dir, 2), run_dir(spark, "retry-stream")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    for number in range(2):
-        log.append(number)
-        released = hold_until_due(log.stream().drop("event_type", "value"))
-        (
-            released.writeStream.format("parquet").option("path", f"{folder}/released")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            # A stream with processing-time timers always has a next micro-batch to
-            # run, so this drains it by single micro-batches.
-            .outputMode("append").trigger(once=True).start().awaitTermination()
+    due_at = PREFIX + H.RETRY_TIME
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+
+    def stamped(part: DataFrame) -> DataFrame:
+        later = H.format_time(F.timestamp_millis(F.lit(time.time_ns() // 1_000_000 + HOLD_MS)))
+        others = F.map_filter("headers", lambda k, _: k != due_at)
+        late = F.map_concat(others, F.create_map(F.lit(due_at), later))
+        return part.withColumn("headers", F.when(F.col("offset") % 4 == 0, late).otherwise(F.col("headers")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_rows(batch.select("partition", "offset", "headers"), f"{folder}/released", batch_id)
+
+    # One run all the time: timers fire in micro-batches without input, which a query only has
+    # once it has run one with input.
+    # A slice is one file, so that one micro-batch takes it.
+    log.append(0, stamped, files=1)
+    try:
+        query = (
+            hold_until_due(log.stream().drop("event_type", "value")).writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{folder}/checkpoint").outputMode("append")
+            .trigger(processingTime="1 second").start()
         )
-    h = F.col("headers")
-    return spark.read.parquet(f"{folder}/released").select(
-        "partition", "offset", h["event-type"].alias("event_type_header"),
-        H.header(h, H.RETRY_TIME).alias("retry_time"),
+        done, wanted = f"{folder}/released", log.log.count()
+        deadline = time.monotonic() + RELEASE_S
+        # The next slice comes when the first one was taken, and is taken well before it falls due.
+        while query.isActive and time.monotonic() < deadline and not _released(spark, done):
+            time.sleep(0.5)
+        log.append(1, stamped, files=1)
+        while query.isActive and time.monotonic() < deadline:
+            time.sleep(2)
+            if _released(spark, done) == wanted:
+                break
+        query.stop()
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+    rows = read_results(spark, done).withColumn("slice", F.when(F.col("offset") >= log.start_of(1), 1).otherwise(0))
+    # Messages that are not held come out in the micro-batch that takes their slice.
+    taken = rows.groupBy("slice").agg(F.min("micro_batch").alias("taken"))
+    return rows.join(F.broadcast(taken), "slice").select(
+        "partition", "offset", F.col("headers")["event-type"].alias("event_type_header"),
+        (F.col("micro_batch") > F.col("taken")).alias("held"),
+    )
+
+
+def _released(spark: SparkSession, path: str) -> int:
+    try:
+        return read_results(spark, path).count()
+    except AnalysisException:  # nothing was written yet
+        return 0
+
+
+PATH_POLICY = RetryPolicy("events.retry", "events.dlq", max_attempts=3, initial_delay_ms=500, max_delay_ms=2_000)
+
+
+@query(
+    "retry_path",
+    f"""WITH RECURSIVE {LOG_SQL}, tries AS (
+      SELECT part, off, event_type, CAST(attempts AS BIGINT) AS tried, 0 AS k FROM log
+      UNION ALL
+      SELECT part, off, event_type, tried + 1, k + 1 FROM tries
+      WHERE event_type = 'error' AND (tried = 0 OR off % 2 = 1) AND tried + 1 < 3)
+    SELECT {PART_OFF}, k > 0 AS released, ok, CASE WHEN NOT ok THEN tried + 1 END AS attempt,
+      CASE WHEN ok THEN 'commit' WHEN tried + 1 >= 3 THEN 'dlq' ELSE 'retry' END AS route
+    FROM (SELECT *, NOT (event_type = 'error' AND (tried = 0 OR off % 2 = 1)) AS ok FROM tries)""",
+)
+def retry_path(spark, sf_dir):
+    """Failures come back after their backoff: some succeed then, the others end as dead letters."""
+    log, folder = GrowingLog(spark, sf_dir, 2), run_dir(spark, "retry-path")
+    tried = H.retry_attempt(F.col("headers"))
+    handler = column_handler((F.col("event_type") == "error") & ((tried == 0) | (F.col("offset") % 2 == 1)), bad_event())
+    for number in range(log.slices):
+        log.append(number)
+        run = run_retry_path(log.stream(), folder, handler, PATH_POLICY).start()
+        run.query.awaitTermination()
+    run.drain()
+    return read_results(spark, RunFolders(folder).outcomes).select(
+        "partition", "offset", "released", "ok", "attempt", "route"
     )

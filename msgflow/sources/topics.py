@@ -90,12 +90,21 @@ def read_log(spark: SparkSession, path: str, format: str = "parquet") -> DataFra
 
 def stream_log(
     spark: SparkSession, path: str, max_per_trigger: Optional[int] = None,
-    format: str = "parquet", schema=MESSAGE_SCHEMA,
+    format: str = "parquet", schema=MESSAGE_SCHEMA, max_bytes: Optional[int] = None,
 ) -> DataFrame:
-    """A growing folder of message files as a stream, ``max_per_trigger`` files at a time."""
+    """A growing folder of message files as a stream.
+
+    A micro-batch takes at most ``max_per_trigger`` files, or files of ``max_bytes`` bytes in
+    all (at least one file); the source knows one of the two limits. Topics are limited by rows, see
+    ``connector_options``.
+    """
+    if max_per_trigger and max_bytes:
+        raise ValueError("give a limit of files or of bytes, not both")
     reader = spark.readStream.format(format).schema(schema)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(path)
 
 

@@ -1,19 +1,22 @@
 """Continuous handling: micro-batches, strategies, sinks, positions, state between batches.
 
 Every micro-batch runs the batch operators, so a hot partition is split inside a
-micro-batch as well. Whatever must be remembered between micro-batches (open
-batches, breakers) is a small table per micro-batch id under the run's folder:
-a replayed micro-batch reads the state of the one before it and overwrites its
-own, so replays do not change results.
+micro-batch as well. Outcomes are written ahead of all sinks (``OutcomeLog``). Whatever
+must be remembered between micro-batches (open batches, breakers) is a small table
+that only the last pointers name (``RunState``): a replayed micro-batch reads
+the state of the one before it and writes its own again, so replays do not change results.
+
+Batches have a second input, a clock that ticks once a second: it makes a continuous
+run have micro-batches without messages, which deliver the batches of keys that fell silent.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Optional, Union
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,6 +48,7 @@ from msgflow.operators.strategies import (
 from msgflow.schema import LOG_KEY
 from msgflow.session import materialize
 from msgflow.sources.sinks import BATCH_FOLDER, write_dlq, write_retry, write_rows
+from msgflow.streaming.state import OutcomeLog, RunState
 
 Target = Union[str, TopicConfig]
 
@@ -79,30 +83,30 @@ class RunFolders:
     def dlq(self) -> str:
         return f"{self.root}/dlq"
 
-    def state(self, name: str) -> str:
-        return f"{self.root}/state/{name}"
+    @property
+    def state(self) -> str:
+        return f"{self.root}/state"
 
+    @property
+    def log(self) -> str:
+        return f"{self.root}/log"
 
-def read_table(spark: SparkSession, path: str) -> Optional[DataFrame]:
-    """A table of files, None when nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
 
+#: Marks rows of the clock in a frame of messages.
+CLOCK = "_clock"
 
-def read_state(spark: SparkSession, path: str, batch_id: int) -> Optional[DataFrame]:
-    """State written by micro-batch ``batch_id``; None before the first one.
 
-    State that a later micro-batch should find but does not is an error: going on
-    from nothing would reset breakers and batch numbers without a word.
-    """
-    state = read_table(spark, f"{path}/{BATCH_FOLDER}={batch_id}")
-    if state is None and batch_id >= 0:
-        raise RuntimeError(f"the state of micro-batch {batch_id} is missing in {path}")
-    return state
+def with_clock(source: DataFrame) -> DataFrame:
+    """A stream of messages and, once a second, of a row that is only a tick (``_clock``)."""
+    ticks = (
+        source.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    )
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema]
+    return source.withColumn(CLOCK, F.lit(False)).unionByName(ticks.select(*nothing, F.lit(True).alias(CLOCK)))
+
+
+def messages_of(batch: DataFrame) -> DataFrame:
+    return batch.filter(~F.col(CLOCK)).drop(CLOCK)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -127,17 +131,20 @@ class StreamRun:
     on_fatal: str
     span: int
     query: Optional[StreamingQuery] = None
+    continuous: bool = False
 
     def start(self, available_now: bool = True) -> "StreamRun":
         """Start the query: the input available now, or continuously."""
+        self.continuous = not available_now
         trigger = (
             {"availableNow": True}
             if available_now
             else {"processingTime": f"{self.stream_policy.trigger_interval_ms} milliseconds"}
         )
+        source = with_clock(self.source) if self.batch_handler else self.source
         process = self._process_batches if self.batch_handler else self._process_messages
         self.query = (
-            self.source.writeStream.foreachBatch(process)
+            source.writeStream.foreachBatch(process)
             .option("checkpointLocation", self.folders.checkpoint)
             .trigger(**trigger)
             .start()
@@ -168,115 +175,142 @@ class StreamRun:
     # -- one micro-batch -----------------------------------------------------
 
     def _process_messages(self, batch: DataFrame, batch_id: int) -> None:
-        outcomes = apply_handler(batch, self.handler).persist()
-        try:
-            if isinstance(self.strategy, CircuitBreaker):
-                routed = self._breaker(outcomes, batch_id)
-            else:
-                routed = apply_strategy(outcomes, self.strategy)
-            routed = routed.persist()  # every sink reads it
-            try:
-                self._deliver(routed, batch_id)
-            finally:
-                routed.unpersist()
-        finally:
-            outcomes.unpersist()
-
-    def _breaker(self, outcomes: DataFrame, batch_id: int) -> DataFrame:
-        spark, path = outcomes.sparkSession, self.folders.state("breaker")
-        before = read_state(spark, path, batch_id - 1)
+        spark = batch.sparkSession
+        log = OutcomeLog(spark, self.folders.log)
+        outcomes = log.once("outcomes", batch_id, lambda: apply_handler(batch, self.handler))
+        if isinstance(self.strategy, CircuitBreaker):
+            state = RunState(spark, self.folders.state)
+            routed, pointer = self._breaker(outcomes, batch_id, state, log)
+            self._deliver(routed, batch_id, log)
+            state.save(batch_id, pointer)
+        else:
+            self._deliver(apply_strategy(outcomes, self.strategy), batch_id, log)
+        log.trim(batch_id)
+
+    def _breaker(self, outcomes: DataFrame, batch_id: int, state: RunState, log: OutcomeLog):
+        """Routed outcomes, and the pointer to the breakers after them."""
+        before = state.table("breaker", state.load(batch_id - 1))
         strategy: CircuitBreaker = self.strategy
+        routed = log.once("routed", batch_id, lambda: strategy.apply(outcomes, initial=before))
         after = breaker_state(outcomes, strategy.policy, span=strategy.span, initial=before)
         if before is not None:
             idle = before.join(after.select(*LOG_KEY), LOG_KEY, "left_anti")
             after = after.unionByName(idle)
-        write_rows(after, path, batch_id)
-        return strategy.apply(outcomes, initial=before)
+        return routed, {"tables": {"breaker": state.put("breaker", after, batch_id)}}
 
     def _process_batches(self, batch: DataFrame, batch_id: int) -> None:
-        self._batches(batch, batch_id, last=False)
+        spark = batch.sparkSession
+        state, log = RunState(spark, self.folders.state), OutcomeLog(spark, self.folders.log)
+        now = log.number("clock", batch_id, lambda: time.time_ns() // 1_000_000)
+        before = state.load(batch_id - 1)
+        rows = messages_of(batch)
+        late = self._overdue(state, before, now)
+        # Nothing came and nobody has waited long enough: all stays as it was.
+        if before and late is None and rows.isEmpty():
+            state.save(batch_id, before)
+        else:
+            state.save(batch_id, self._batches(rows, batch_id, state, log, before, now, late))
+        log.trim(batch_id)
+
+    def _overdue(self, state: RunState, before: dict, now: int) -> Optional[DataFrame]:
+        """Keys whose open batch has waited for its timeout, in a continuous run."""
+        keys = state.table("keys", before)
+        if not self.continuous or keys is None:
+            return None
+        late = keys.filter(F.col("since") + self.batch_policy.timeout_ms <= now).select(*LOG_KEY)
+        return None if late.isEmpty() else late
 
     def _flush(self) -> None:
         """Deliver the open batches as they are, and leave none to the next micro-batch.
 
-        Results go to an id of their own, below 0, which Spark gives to no micro-batch.
+        Results go to an id of their own, below 0, which Spark gives to no micro-batch: a flush
+        after micro-batch n delivers under -(n + 1) and then replaces n's state.
         """
         spark = self.source.sparkSession
-        numbers = read_table(spark, self.folders.state("numbers"))
-        if numbers is None:
+        state, log = RunState(spark, self.folders.state), OutcomeLog(spark, self.folders.log)
+        last = state.last()
+        before = state.load(last)
+        held, keys = state.table("held", before), state.table("keys", before)
+        if held is None or before.get("flushed") or held.isEmpty():
             return
-        last = numbers.agg(F.max(BATCH_FOLDER)).first()[0]
-        held = read_state(spark, self.folders.state("held"), last)
-        if not held.isEmpty():
-            self._batches(held.limit(0), last + 1, last=True)
-
-    def _batches(self, batch: DataFrame, batch_id: int, last: bool) -> None:
+        numbers = keys.select(*LOG_KEY, F.col("batches").alias(BATCH_ID))
+        closed = checked_join(held, numbers, LOG_KEY, "inner", computed=True)
+        flush_id = -(last + 1)
+        outcomes = log.once("outcomes", flush_id, lambda: apply_batch_handler(closed, self.batch_handler))
+        self._deliver(apply_strategy(outcomes, self.strategy), flush_id, log)
+        open_now = F.col("since").isNotNull().cast("bigint")
+        after = keys.select(*LOG_KEY, (F.col("batches") + open_now).alias("batches"), F.lit(None).cast("bigint").alias("since"))
+        state.save(last, {"tables": {"keys_flushed": state.put("keys_flushed", after, last)}, "flushed": True})
+
+    def _batches(self, rows: DataFrame, batch_id: int, state: RunState, log: OutcomeLog, before: dict, now: int, late) -> dict:
         """Close the batches that are full or timed out; hold the open one of each key.
 
         Held rows start a batch, so batching (held + new) rows afresh continues the
-        log's batches. At most one open batch per key is held.
+        log's batches. At most one open batch per key is held. Batches of ``late`` keys are delivered
+        as they are, before new rows join. Returns the pointer to what is remembered.
         """
-        spark = batch.sparkSession
-        held = read_state(spark, self.folders.state("held"), batch_id - 1)
-        numbers = read_state(spark, self.folders.state("numbers"), batch_id - 1)
-        rows = batch if held is None else batch.unionByName(held)
-        assigned = assign_batches(rows, self.batch_policy, span=self.span).persist()
-        try:
-            sizes = assigned.groupBy(*LOG_KEY, BATCH_ID).agg(F.count(F.lit(1)).alias("_size"))
-            ends = sizes.groupBy(*LOG_KEY).agg(F.max(F.struct(BATCH_ID, "_size")).alias("_end"))
-            is_open = (F.col("_end._size") < self.batch_policy.size) & ~F.lit(last)
-            ends = ends.select(
-                *LOG_KEY,
-                F.when(is_open, F.col(f"_end.{BATCH_ID}")).alias("_open"),
-                (F.col(f"_end.{BATCH_ID}") + F.when(is_open, 0).otherwise(1)).alias("_closed"),
+        held = state.table("held", before)
+        keys = state.table("keys_flushed" if before.get("flushed") else "keys", before)
+        overdue = None
+        if late is not None:
+            numbers = keys.select(*LOG_KEY, F.col("batches").alias(BATCH_ID)).join(late, LOG_KEY)
+            overdue = checked_join(held, numbers, LOG_KEY, "inner")
+            held = checked_join(held, late, LOG_KEY, "left_anti")
+            keys = keys.join(late.withColumn("_late", F.lit(True)), LOG_KEY, "left").select(
+                *LOG_KEY, (F.col("batches") + F.when(F.col("_late"), 1).otherwise(0)).alias("batches"),
+                F.when(F.col("_late"), None).otherwise(F.col("since")).alias("since"),
             )
-            if numbers is not None:
-                ends = ends.join(numbers, LOG_KEY, "full")
-            else:
-                ends = ends.withColumn("batches", F.lit(0).cast("bigint"))
-            before = F.coalesce("batches", F.lit(0))
-            ends = materialize(
-                ends.select(
-                    *LOG_KEY, "_open", before.alias("_before"),
-                    (before + F.coalesce("_closed", F.lit(0))).alias("batches"),
-                )
-            )
-            placed = checked_join(assigned, ends.drop("batches"), LOG_KEY, computed=True)
-            in_open = F.col("_open").isNotNull() & (F.col(BATCH_ID) == F.col("_open"))
-            if not last:
-                write_rows(
-                    ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id
-                )
-                write_rows(
-                    placed.filter(in_open).drop("_open", "_before", BATCH_ID),
-                    self.folders.state("held"), batch_id,
-                )
-            closed = (
-                placed.filter(~in_open)
-                .withColumn(BATCH_ID, F.col(BATCH_ID) + F.col("_before"))
-                .drop("_open", "_before")
+        both = rows if held is None else rows.unionByName(held)
+        assigned = log.once("assigned", batch_id, lambda: assign_batches(both, self.batch_policy, span=self.span))
+        sizes = assigned.groupBy(*LOG_KEY, BATCH_ID).agg(F.count(F.lit(1)).alias("_size"))
+        ends = sizes.groupBy(*LOG_KEY).agg(F.max(F.struct(BATCH_ID, "_size")).alias("_end"))
+        is_open = F.col("_end._size") < self.batch_policy.size
+        ends = ends.select(
+            *LOG_KEY,
+            F.when(is_open, F.col(f"_end.{BATCH_ID}")).alias("_open"),
+            (F.col(f"_end.{BATCH_ID}") + F.when(is_open, 0).otherwise(1)).alias("_closed"),
+        )
+        if keys is not None:
+            ends = ends.join(keys, LOG_KEY, "full")
+        else:
+            ends = ends.withColumns({"batches": F.lit(0).cast("bigint"), "since": F.lit(None).cast("bigint")})
+        first = F.coalesce("batches", F.lit(0))
+        # An open batch that was held already goes on waiting; a new one starts now.
+        since = F.when((F.col("_open") == 0) & F.col("since").isNotNull(), F.col("since")).otherwise(F.lit(now))
+        ends = materialize(
+            ends.select(
+                *LOG_KEY, "_open", first.alias("_before"),
+                (first + F.coalesce("_closed", F.lit(0))).alias("batches"),
+                F.when(F.col("_open").isNotNull(), since).cast("bigint").alias("since"),
             )
-            outcomes = apply_batch_handler(closed, self.batch_handler).persist()
-            try:
-                # A flush after micro-batch n delivers under -(n + 1) and then replaces n's state.
-                self._deliver(apply_strategy(outcomes, self.strategy), -batch_id if last else batch_id)
-            finally:
-                outcomes.unpersist()
-            if last:
-                nothing = spark.createDataFrame([], held.drop(BATCH_FOLDER).schema)
-                write_rows(ends.select(*LOG_KEY, "batches"), self.folders.state("numbers"), batch_id - 1)
-                write_rows(nothing, self.folders.state("held"), batch_id - 1)
-        finally:
-            assigned.unpersist()
+        )
+        placed = checked_join(assigned, ends.drop("batches", "since"), LOG_KEY, computed=True)
+        in_open = F.col("_open").isNotNull() & (F.col(BATCH_ID) == F.col("_open"))
+        tables = {
+            "keys": state.put("keys", ends.select(*LOG_KEY, "batches", "since"), batch_id),
+            "held": state.put("held", placed.filter(in_open).drop("_open", "_before", BATCH_ID), batch_id),
+        }
+        closed = (
+            placed.filter(~in_open)
+            .withColumn(BATCH_ID, F.col(BATCH_ID) + F.col("_before"))
+            .drop("_open", "_before")
+        )
+        if overdue is not None:
+            closed = closed.unionByName(overdue)
+        outcomes = log.once("outcomes", batch_id, lambda: apply_batch_handler(closed, self.batch_handler))
+        self._deliver(apply_strategy(outcomes, self.strategy), batch_id, log)
+        return {"tables": tables}
 
-    def _deliver(self, routed: DataFrame, batch_id: int) -> None:
+    def _deliver(self, routed: DataFrame, batch_id: int, log: OutcomeLog) -> None:
         """Write retry and dead-letter rows first, then outcomes and positions.
 
         Where the strategy stops the query, rows after the first one that is not
         accepted in their partition are not delivered: they are read again, and the
         position stays before that row.
         """
-        if self.on_fatal == "stop":
+        # These two accept every row.
+        may_stop = not isinstance(self.strategy, (Skip, Retry))
+        if self.on_fatal == "stop" and may_stop:
             routed = until_stop(routed)
         outputs = getattr(self.strategy, "outputs", None)
         pair = outputs(routed) if outputs else None
@@ -293,16 +327,17 @@ class StreamRun:
             if c in routed.columns
         ]
         write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
-        written = read_table(routed.sparkSession, f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
-        handled = merge_routes(until_stop(written))
+        written = routed.sparkSession.read.parquet(f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
+        handled = merge_routes(until_stop(written)) if may_stop else written
         write_rows(commit_positions(handled), self.folders.commits, batch_id)
-        if self.on_fatal == "stop" and not isinstance(self.strategy, (Skip, Retry)):
+        if self.on_fatal == "stop" and may_stop:
             fatal = F.col("route") == STOP
             if "fatal" in written.columns:
                 fatal = fatal | F.col("fatal")
             text = F.col("stop_error" if "stop_error" in written.columns else "error")
             stopped = written.filter(fatal).select(text.alias("text")).take(1)
             if stopped:
+                log.forget(batch_id)
                 raise FatalOutcome(f"error strategy: {stopped[0].text}")
 
 

@@ -208,3 +208,240 @@ def test_connector_rows(make):
     assert (row.key, bytes(row.value), row.topic) == (None, b"p0", "r")
     options = sink_options(TopicConfig("t", ("a:1", "b:2"), "g"))
     assert options == {"kafka.bootstrap.servers": "a:1,b:2", "kafka.acks": "all"}
+
+
+def until(reached, seconds=60):
+    deadline = time.time() + seconds
+    while time.time() < deadline:
+        if reached():
+            return True
+        time.sleep(0.3)
+    return False
+
+
+def test_a_silent_key_is_delivered_by_the_clock(spark, make):
+    """The open batch of a key without further messages goes out in a continuous run, once."""
+    source, folder = run_dir(spark, "silent"), run_dir(spark, "run")
+    make([{"offset": i} for i in range(3)]).coalesce(1).write.parquet(source)
+    policy, pace = BatchPolicy(5, 3_000), StreamPolicy(trigger_interval_ms=500)
+
+    def run():
+        return run_stream(
+            stream_log(spark, source), folder, batch_handler=lambda p: None, batch_policy=policy, stream_policy=pace
+        ).start(available_now=False)
+
+    def delivered():
+        try:
+            return sorted((r.offset, r.batch_id) for r in outcomes_of(spark, folder).select("offset", "batch_id").collect())
+        except Exception:  # noqa: BLE001 - nothing written yet
+            return []
+
+    first = run()
+    began = time.time()
+    try:
+        assert until(lambda: len(delivered()) == 3)
+        assert time.time() - began >= 2
+    finally:
+        first.stop()
+    # A restart delivers nothing again, and the key goes on with its next batch.
+    second = run()
+    try:
+        time.sleep(3)
+        make([{"offset": i} for i in range(3, 5)]).coalesce(1).write.mode("append").parquet(source)
+        assert until(lambda: len(delivered()) == 5)
+    finally:
+        second.stop()
+    assert delivered() == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]
+    positions = read_results(spark, RunFolders(folder).commits).agg(F.max("next_offset")).first()[0]
+    assert positions == 5
+
+
+def test_a_batch_that_is_not_overdue_goes_on_over_the_clock(spark, make):
+    source, folder = run_dir(spark, "waiting"), run_dir(spark, "run")
+    make([{"offset": i} for i in range(2)]).coalesce(1).write.parquet(source)
+    run = run_stream(
+        stream_log(spark, source), folder, batch_handler=lambda p: None, batch_policy=BatchPolicy(4, 600_000),
+        stream_policy=StreamPolicy(trigger_interval_ms=500),
+    ).start(available_now=False)
+    try:
+        time.sleep(6)  # ticks without messages
+        make([{"offset": i} for i in range(2, 5)]).coalesce(1).write.mode("append").parquet(source)
+        assert until(lambda: run.query.lastProgress and _count(spark, folder) == 4)
+    finally:
+        run.stop()
+    run.start().drain()
+    rows = sorted((r.offset, r.batch_id) for r in outcomes_of(spark, folder).collect())
+    assert rows == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1)]
+
+
+def _count(spark, folder):
+    try:
+        return outcomes_of(spark, folder).count()
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return 0
+
+
+def test_state_and_log_stay_bounded(spark):
+    """Fifty micro-batches leave what the last two of them need."""
+    from msgflow.streaming.state import KEPT, OutcomeLog, RunState
+
+    root = run_dir(spark, "bounded")
+    state, log = RunState(spark, f"{root}/state"), OutcomeLog(spark, f"{root}/log")
+    for number in range(50):
+        one = spark.range(number, number + 1).coalesce(1)
+        # Every third micro-batch changes nothing and points to what was there.
+        before = state.load(number - 1)
+        assert state.last() == number - 1 and (number == 0 or state.table("t", before).first()[0] == number - 1 - (number - 1) % 3)
+        state.save(number, {"tables": {"t": state.put("t", one, number)}} if number % 3 == 0 else before)
+        assert log.once("o", number, lambda: one).first()[0] == number
+        assert log.once("o", number, lambda: 1 / 0).first()[0] == number  # a replay reads what is there
+        assert log.number("clock", number, lambda: number) == log.number("clock", number, lambda: -1) == number
+        log.trim(number)
+    assert state.files.names(f"{root}/state/t") == ["micro_batch=48"]
+    for place in ("state/pointers", "log/o", "log/clock"):
+        assert len([n for n in state.files.names(f"{root}/{place}") if not n.startswith(".")]) <= KEPT, place
+    log.forget(49)
+    assert log.once("o", 49, lambda: spark.range(7, 8)).first()[0] == 7
+    with pytest.raises(RuntimeError):
+        state.load(50)
+
+
+def test_breakers_of_a_stream_keep_two_generations(spark, make):
+    from msgflow.streaming.state import KEPT, SharedFiles
+
+    source, folder = run_dir(spark, "many"), run_dir(spark, "run")
+    for i in range(5):
+        make([{"offset": 2 * i}, {"offset": 2 * i + 1}]).coalesce(1).write.mode("append").parquet(source)
+    run_stream(
+        stream_log(spark, source, 1), folder, fails(), strategy=CircuitBreaker(BreakerPolicy(2, 1000), span=8), on_fatal="hold"
+    ).start().drain()
+    files, folders = SharedFiles(spark), RunFolders(folder)
+    assert outcomes_of(spark, folder).count() == 10
+    for place in (f"{folders.state}/breaker", f"{folders.log}/outcomes", f"{folders.log}/routed"):
+        assert 1 <= len(files.names(place)) <= KEPT, place
+
+
+def test_all_sinks_see_one_outcome_of_a_row(spark, make, monkeypatch):
+    """A handler that answers differently each time; blocks that are lost, and a crash before the positions."""
+    import random
+
+    from msgflow.streaming import runner
+
+    source, folder = run_dir(spark, "unsure"), run_dir(spark, "run")
+    make([{"offset": i, "headers": {"mq.retry.attempt": str(i % 3)}} for i in range(200)]).repartition(4).write.parquet(source)
+    real_dlq, real_commit, crashes = runner.write_dlq, runner.commit_positions, []
+
+    def losing(df, target, batch_id):
+        spark.catalog.clearCache()
+        spark.sparkContext._jvm.System.gc()
+        real_dlq(df, target, batch_id)
+
+    def crashing(df):
+        if not crashes:
+            crashes.append(1)
+            raise OSError("the driver is gone")
+        return real_commit(df)
+
+    monkeypatch.setattr(runner, "write_dlq", losing)
+    monkeypatch.setattr(runner, "commit_positions", crashing)
+
+    def unsure(message):
+        return "bad" if random.random() < 0.5 else None
+
+    def run():
+        return run_stream(
+            stream_log(spark, source), folder, unsure, strategy=Retry(RetryPolicy("r", "d", max_attempts=3))
+        ).start()
+
+    with pytest.raises(Exception, match="driver is gone"):
+        run().query.awaitTermination()
+    offset = F.element_at("headers", "mq.original.offset").cast("long")
+    folders = RunFolders(folder)
+
+    def failed():
+        return {
+            route: {r[0] for r in read_results(spark, path).select(offset).collect()}
+            for route, path in (("retry", folders.retry), ("dlq", folders.dlq))
+        }
+
+    sent = failed()
+    run().drain()
+    out = outcomes_of(spark, folder).collect()
+    assert len(out) == 200
+    assert sent == failed() == {k: {r.offset for r in out if r.route == k} for k in ("retry", "dlq")}
+    assert sent["retry"] and sent["dlq"]
+
+
+def test_retry_path_in_one_run(spark, make):
+    """Held, released, handled again: some succeed, the others end as dead letters; a replay repeats nothing."""
+    from msgflow.functions import headers as H
+    from msgflow.streaming.retry_path import run_retry_path
+
+    source, folder = run_dir(spark, "path"), run_dir(spark, "run")
+    make([{"partition": i % 2, "offset": i, "payload": b"bad" if i % 2 else b"ok"} for i in range(40)]).write.parquet(source)
+    tried = H.retry_attempt(F.col("headers"))
+    handler = column_handler(
+        (F.col("payload") == F.lit(b"bad")) & ((tried == 0) | (F.col("offset") % 4 == 1)), F.lit("no")
+    )
+    policy = RetryPolicy("r", "d", max_attempts=3, initial_delay_ms=700, max_delay_ms=1_500)
+    run = run_retry_path(stream_log(spark, source), folder, handler, policy, slot_ms=500).start()
+    run.query.awaitTermination()
+    assert run.pending() == 20
+    began = time.time()
+    run.drain()
+    assert run.pending() == 0 and time.time() - began > 1
+    out = outcomes_of(spark, folder).collect()
+    tries = {}
+    for r in sorted(out, key=lambda r: (r.offset, r.micro_batch)):
+        tries.setdefault(r.offset, []).append((r.route, r.attempt, r.released))
+    for offset, got in tries.items():
+        if offset % 2 == 0:
+            assert got == [("commit", None, False)]
+        elif offset % 4 == 1:
+            assert got == [("retry", 1, False), ("retry", 2, True), ("dlq", 3, True)]
+        else:
+            assert got == [("retry", 1, False), ("commit", None, True)]
+    dead = read_results(spark, RunFolders(folder).dlq).select(F.element_at("headers", "mq.original.offset")).collect()
+    assert sorted(int(r[0]) for r in dead) == [i for i in range(40) if i % 4 == 1]
+    positions = read_results(spark, RunFolders(folder).commits).groupBy("partition").agg(F.max("next_offset").alias("n"))
+    assert {(r.partition, r.n) for r in positions.collect()} == {(0, 39), (1, 40)}
+    # Nothing is left to release, and slots that are over are deleted.
+    run.start().query.awaitTermination()
+    assert outcomes_of(spark, folder).count() == len(out)
+
+
+def test_a_retry_path_goes_on_after_a_crash(spark, make, monkeypatch):
+    from msgflow.streaming import retry_path
+
+    source, folder = run_dir(spark, "path"), run_dir(spark, "run")
+    make([{"offset": i} for i in range(10)]).write.parquet(source)
+    policy = RetryPolicy("r", "d", max_attempts=2, initial_delay_ms=600, max_delay_ms=600)
+    handler = column_handler(F.col("offset") >= 0, F.lit("no"))
+    real, crashes = retry_path.commit_positions, []
+
+    def crashing(df):
+        crashes.append(1)
+        if len(crashes) == 2:  # while the held rows are handled again
+            raise OSError("the driver is gone")
+        return real(df)
+
+    monkeypatch.setattr(retry_path, "commit_positions", crashing)
+    run = retry_path.run_retry_path(stream_log(spark, source), folder, handler, policy, slot_ms=500).start()
+    with pytest.raises(Exception, match="driver is gone"):
+        run.drain()
+    run.start().drain()
+    out = outcomes_of(spark, folder)
+    assert sorted((r.offset, r.route) for r in out.collect()) == sorted([(i, k) for i in range(10) for k in ("retry", "dlq")])
+    assert read_results(spark, RunFolders(folder).dlq).count() == 10
+
+
+def test_limits_of_a_stream(spark, make):
+    source, folder = run_dir(spark, "limits"), run_dir(spark, "run")
+    for i in range(6):
+        make([{"offset": 10 * i + j} for j in range(10)]).coalesce(1).write.mode("append").parquet(source)
+    each = max(int(r[0]) for r in spark.read.format("binaryFile").load(source).select("length").collect())
+    run_stream(stream_log(spark, source, max_bytes=2 * each), folder, fails()).start().drain()
+    counts = outcomes_of(spark, folder).groupBy("micro_batch").count().collect()
+    assert len(counts) >= 3 and sum(r["count"] for r in counts) == 60
+    with pytest.raises(ValueError):
+        stream_log(spark, source, 1, max_bytes=1)
