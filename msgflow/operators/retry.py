@@ -13,6 +13,7 @@ from msgflow.functions.backoff import backoff_delay, retry_at, retry_moment
 from msgflow.functions.headers import dlq_headers, retry_attempt, retry_headers, retry_time
 from msgflow.functions.payload import dlq_envelope
 from msgflow.operators.handler import ColumnHandler, Handler, apply_handler
+from msgflow.operators.segments import settled
 from msgflow.session import materialize
 
 # The routes of an outcome.
@@ -105,7 +106,61 @@ class RetryResult:
     dlq: DataFrame
     pending: DataFrame
     history: DataFrame
-    rounds: int
+
+    @property
+    def rounds(self) -> int:
+        """Rounds that had rows, 1 at least."""
+        return (self.history.agg(F.max("round")).first()[0] or 0) + 1
+
+
+def _tried(outcomes: DataFrame, policy: RetryPolicy) -> DataFrame:
+    """Outcomes of one round with ``attempt`` and ``route``."""
+    # A negative attempt header counts as none here: it would add rounds without end.
+    attempt = F.greatest(next_attempt(F.col("headers"), policy.prefix), F.lit(1))
+    return outcomes.withColumn("attempt", attempt).withColumn(
+        "route",
+        F.when(F.col("ok"), COMMIT)
+        .when(F.col("attempt") >= policy.max_attempts, DLQ)
+        .otherwise(RETRY),
+    )
+
+
+def _again(routed: DataFrame, policy: RetryPolicy) -> tuple[Column, Column]:
+    """Headers and time of a row in the round after its failure."""
+    delay = backoff_delay(F.col("attempt"), policy)
+    headers = retry_headers(
+        *_message_columns(), F.col("attempt"), retry_at(F.col("timestamp"), delay),
+        F.col("error"), F.col("timestamp"), policy.prefix, policy.origin, _next_step(routed),
+    )
+    return headers, retry_moment(F.col("timestamp"), delay)
+
+
+#: Rounds of a column handler that are written out in one plan.
+UNROLLED = 8
+ROUND_COLUMNS = ("headers", "timestamp", "error", "ok", "next_step", "round", "attempt", "route")
+
+
+def _unrolled(df: DataFrame, handler: ColumnHandler, policy: RetryPolicy, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """(history, pending) of all rounds in one plan over one scan, without a shuffle.
+
+    Every row carries its rounds as columns, each made from the headers and time that the round before
+    left; the rounds that took place are then given out as rows.
+    """
+    names, row = list(df.columns), df.withColumn("_open", F.lit(True))
+    for number in range(rounds):
+        row = _tried(apply_handler(row, handler).withColumn("round", F.lit(number)), policy)
+        headers, moment = _again(row, policy)
+        again = F.col("_open") & (F.col("route") == RETRY)
+        row = row.withColumn(f"_round{number}", F.when(F.col("_open"), F.struct(*ROUND_COLUMNS)))
+        row = row.withColumns({
+            "_open": again, "headers": F.when(again, headers).otherwise(F.col("headers")),
+            "timestamp": F.when(again, moment).otherwise(F.col("timestamp")),
+        })
+    pending = row.filter("_open").select(*names)
+    others = [F.col(c) for c in names if c not in ROUND_COLUMNS]
+    all_rounds = F.filter(F.array(*[f"_round{n}" for n in range(rounds)]), lambda r: r.isNotNull())
+    history = row.select(*others, F.inline(all_rounds))
+    return history.select(*dict.fromkeys([*names, *ROUND_COLUMNS])), pending
 
 
 def run_with_retries(
@@ -116,35 +171,29 @@ def run_with_retries(
 
     A failed row uses up one attempt per round and negative attempt headers count as
     0, so there are at most ``max_attempts`` rounds; rows still to be retried after
-    ``max_rounds`` are returned as ``pending``. Each round works on the remaining
-    failures only, which are materialised, so lineage stays short. For a Python
-    handler its outcomes are materialised: it runs once per row and round. A row's
-    time moves by the backoff.
+    ``max_rounds`` are returned as ``pending``. A row's time moves by the backoff.
+
+    Up to ``UNROLLED`` rounds of a column handler are one plan that is not run here. Otherwise each
+    round works on the remaining failures only, and its outcomes (for a column handler, its failures) are
+    materialised, so lineage stays short and a Python handler runs once per row and round.
     """
+    most = policy.max_attempts if max_rounds is None else min(max_rounds, policy.max_attempts)
+    if isinstance(handler, ColumnHandler) and most <= UNROLLED:
+        history, pending = _unrolled(settled(df), handler, policy, most)
+        history = settled(history)
+        return RetryResult(
+            history.filter(F.col("route") == COMMIT), history.filter(F.col("route") == DLQ), pending, history
+        )
     message_columns = list(df.columns)
     pending, history, round_no = df, None, 0
     while True:
-        outcomes = apply_handler(pending, handler).withColumn("round", F.lit(round_no))
-        # A negative attempt header counts as none here: it would add rounds without end.
-        attempt = F.greatest(next_attempt(F.col("headers"), policy.prefix), F.lit(1))
-        routed = outcomes.withColumn("attempt", attempt).withColumn(
-            "route",
-            F.when(F.col("ok"), COMMIT)
-            .when(F.col("attempt") >= policy.max_attempts, DLQ)
-            .otherwise(RETRY),
-        )
+        routed = _tried(apply_handler(pending, handler).withColumn("round", F.lit(round_no)), policy)
         if not isinstance(handler, ColumnHandler):
             routed = materialize(routed)
         history = routed if history is None else history.unionByName(routed)
         again = routed.filter(F.col("route") == RETRY)
-        delay = backoff_delay(F.col("attempt"), policy)
-        pending = again.withColumn(
-            "headers",
-            retry_headers(
-                *_message_columns(), F.col("attempt"), retry_at(F.col("timestamp"), delay),
-                F.col("error"), F.col("timestamp"), policy.prefix, policy.origin, _next_step(again),
-            ),
-        ).withColumn("timestamp", retry_moment(F.col("timestamp"), delay)).select(*message_columns)
+        headers, moment = _again(again, policy)
+        pending = again.withColumns({"headers": headers, "timestamp": moment}).select(*message_columns)
         if isinstance(handler, ColumnHandler):
             pending = materialize(pending)
         if round_no + 1 == max_rounds or pending.isEmpty():
@@ -155,5 +204,4 @@ def run_with_retries(
         history.filter(F.col("route") == DLQ),
         pending,
         history,
-        round_no + 1,
     )
