@@ -366,19 +366,23 @@ _BREAKER_STRUCT = T.StructType(
 
 def circuit_breaker(
     df: DataFrame, policy: BreakerPolicy = BreakerPolicy(), by: Sequence[str] = LOG_KEY,
-    span: int = DEFAULT_SPAN, initial: Optional[DataFrame] = None,
+    span: int = DEFAULT_SPAN, initial: Optional[DataFrame] = None, inherited: Optional[DataFrame] = None,
 ) -> DataFrame:
     """Replay the breaker of each key over its outcomes, by row timestamps.
 
     Adds ``state_before, state_after, failure_count, success_count, action,
     fatal``. ``initial`` holds a breaker per key to go on from (``breaker_state``
     of an earlier frame); other keys start closed. Every row of ``df`` is returned
-    once, rows delivered twice as often as they come.
+    once, rows delivered twice as often as they come. ``inherited`` is a table of
+    ``inherited_breakers`` of the same frame and span, where one was written already.
     """
     by, order = list(by), order_for(by)
     check_columns(df, [*by, *order, "timestamp", "ok"], "circuit_breaker")
     rows = tagged(settled(df), "timestamp", "ok")
-    inherited, slim = _inherited_breakers(rows, policy, by, order, span, initial)
+    if inherited is None:
+        inherited, slim = _inherited_breakers(rows, policy, by, order, span, initial)
+    else:
+        slim = _slim(rows, by, order, span)
     keys, identity = [*by, SEGMENT], identity_of(by, order)
     sort_keys = _log_order(order)
     result_schema = T.StructType(
@@ -418,11 +422,31 @@ def _log_order(order: Sequence[str]) -> list[tuple[str, str]]:
     return [(c if c != "timestamp" else "_us", "ascending") for c in [*order, TAG]]
 
 
+def _slim(df: DataFrame, by: Sequence[str], order: Sequence[str], span: int) -> DataFrame:
+    """What the breaker depends on, cut into segments."""
+    columns = list(dict.fromkeys([*by, *order, "timestamp", "ok", TAG]))
+    return with_segments(df.select(*columns), order, span, by).withColumn("_us", moment_us())
+
+
+def inherited_breakers(
+    df: DataFrame, policy: BreakerPolicy = BreakerPolicy(), span: int = DEFAULT_SPAN, initial: Optional[DataFrame] = None,
+) -> DataFrame:
+    """Per segment of a (topic, partition): the breaker before and after it (``_before``, ``_after``).
+
+    Written once, it serves both the replay and the state after all rows.
+    """
+    rows = tagged(settled(df), "timestamp", "ok")
+    return _inherited_breakers(rows, policy, list(LOG_KEY), order_for(LOG_KEY), span, initial)[0]
+
+
+def state_after(inherited: DataFrame, by: Sequence[str] = LOG_KEY) -> DataFrame:
+    """The breaker of each key after its last segment: ``state, failures, successes, last``."""
+    return inherited.groupBy(*by).agg(F.max_by("_after", SEGMENT).alias("_b")).select(*by, "_b.*")
+
+
 def _inherited_breakers(df, policy, by, order, span, initial):
     """Per segment: the breaker before it and after it."""
-    slim_columns = list(dict.fromkeys([*by, *order, "timestamp", "ok", TAG]))
-    segmented = with_segments(df.select(*slim_columns), order, span, by)
-    slim = segmented.withColumn("_us", moment_us())
+    slim = _slim(df, by, order, span)
     sort_keys = _log_order(order)
     summary_schema = T.StructType(
         [
@@ -487,11 +511,7 @@ def breaker_state(
     """The breaker of each key after all its rows: ``state, failures, successes, last``."""
     by, order = list(by), order_for(by)
     inherited, _ = _inherited_breakers(tagged(settled(df), "timestamp", "ok"), policy, by, order, span, initial)
-    return (
-        inherited.groupBy(*by)
-        .agg(F.max_by("_after", SEGMENT).alias("_b"))
-        .select(*by, "_b.*")
-    )
+    return state_after(inherited, by)
 
 
 def breaker_summary(log: DataFrame, by: Sequence[str] = LOG_KEY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Optional, Protocol, runtime_checkable
 
@@ -14,7 +15,7 @@ from msgflow.operators.joins import checked_join
 from msgflow.operators.offsets import skip_ranges
 from msgflow.operators.retry import COMMIT, DLQ, RETRY, STOP, next_attempt, retry
 from msgflow.operators.segments import DEFAULT_SPAN, settled
-from msgflow.schema import LOG_KEY
+from msgflow.schema import IDENTITY, LOG_KEY
 from msgflow.session import materialize
 
 # Texts of fatal results.
@@ -115,10 +116,11 @@ class CircuitBreaker:
     span: int = DEFAULT_SPAN
     name: str = field(default="circuit-breaker", init=False)
 
-    def apply(self, outcomes: DataFrame, initial: Optional[DataFrame] = None) -> DataFrame:
-        return breaker_routes(
-            circuit_breaker(outcomes, self.policy, span=self.span, initial=initial), self.policy
-        )
+    def apply(
+        self, outcomes: DataFrame, initial: Optional[DataFrame] = None, inherited: Optional[DataFrame] = None
+    ) -> DataFrame:
+        log = circuit_breaker(outcomes, self.policy, span=self.span, initial=initial, inherited=inherited)
+        return breaker_routes(log, self.policy)
 
     def outputs(
         self, routed: DataFrame, failed_at: Optional[Column] = None
@@ -180,3 +182,15 @@ def accepted_rows(routed: DataFrame) -> Column:
 def merge_routes(routed: DataFrame) -> DataFrame:
     """Rows whose position may be committed."""
     return routed.filter(accepted_rows(routed))
+
+
+def held_again(log: DataFrame, outcomes: DataFrame, on: Sequence[str] = IDENTITY, order: str = "micro_batch") -> DataFrame:
+    """Messages of ``log`` whose last outcome was not accepted: those that a run with ``on_fatal="hold"`` went past.
+
+    ``outcomes`` may have several rows for a message; the one with the largest ``order`` counts, and of
+    several at one order an accepted one. Handle the result once more and add its outcomes under a larger
+    order. Outcomes combine on the map side before the join.
+    """
+    accepted = F.coalesce(accepted_rows(outcomes), F.lit(False))
+    last = outcomes.groupBy(*on).agg(F.max_by(accepted, F.struct(F.col(order), accepted)).alias("_done"))
+    return log.join(last.filter("NOT _done").select(*on), list(on), "left_semi")

@@ -32,6 +32,7 @@ from msgflow.plans.registry import (
     query,
     redelivered_sql,
 )
+from msgflow.schema import IDENTITY
 from msgflow.session import materialize
 from msgflow.sources.topics import bounded_read, read_dlq, to_messages
 
@@ -837,6 +838,24 @@ def circuit_breaker_redelivered(spark, sf_dir):
     return breaker.circuit_breaker(rows, BREAKER, span=pick_span(rows)).select(*BREAKER_COLUMNS)
 
 
+@query(
+    "held_again",
+    f"""WITH RECURSIVE {BREAKER_SQL} SELECT {PART_OFF}, event_type FROM breaker_log WHERE fatal AND off % 2 = 1""",
+)
+def held_again(spark, sf_dir):
+    """What a breaker held is read again; the even half is accepted then, the odd half is still held."""
+    log = event_log(spark, sf_dir)
+    first = apply_handler(log, native_handler())
+    first = strategies.CircuitBreaker(BREAKER, span=pick_span(first)).apply(first).select(
+        *IDENTITY, "route", "fatal", F.lit(0).alias("micro_batch")
+    )
+    first = materialize(first)
+    again = strategies.Skip().apply(
+        apply_handler(strategies.held_again(log, first), column_handler(F.col("offset") % 2 == 1, bad_event())).filter("ok")
+    ).select(*IDENTITY, "route", F.lit(False).alias("fatal"), F.lit(1).alias("micro_batch"))
+    return strategies.held_again(log, first.unionByName(again)).select("partition", "offset", "event_type")
+
+
 LONG_COOLDOWN = BreakerPolicy(threshold=2, cooldown_ms=2 * 86_400_000, half_open_attempts=2)
 
 

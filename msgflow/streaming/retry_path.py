@@ -29,7 +29,7 @@ from msgflow.operators.strategies import Retry
 from msgflow.schema import LOG_KEY
 from msgflow.sources.sinks import BATCH_FOLDER, write_dlq, write_rows
 from msgflow.streaming.runner import RunFolders, Target, messages_of, with_clock
-from msgflow.streaming.state import OutcomeLog, RunState
+from msgflow.streaming.state import OutcomeLog, RunState, together
 
 #: Width of a slot: a row is released at most this long, and one trigger, after it falls due.
 SLOT_MS = 1_000
@@ -109,10 +109,14 @@ class RetryRun:
             rows = rows.unionByName(self._released(spark, rows, due, batch_id))
         outcomes = log.once("outcomes", batch_id, lambda: apply_handler(rows, self.handler))
         routed = Retry(self.policy).apply(outcomes)
-        again = self._hold(routed, rows.columns, now, passed, batch_id)
-        write_dlq(dlq_rows(routed.filter("NOT ok"), self.policy, F.timestamp_millis(F.lit(now))), self.dlq_target, batch_id)
+        dead = dlq_rows(routed.filter("NOT ok"), self.policy, F.timestamp_millis(F.lit(now)))
         columns = [*LOG_KEY, "offset", "timestamp", "ok", "error", "attempt", "route", RELEASED, *self.keep]
-        write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
+        again, *_ = together(
+            spark,
+            lambda: self._hold(routed, rows.columns, now, passed, batch_id),
+            lambda: write_dlq(dead, self.dlq_target, batch_id),
+            lambda: write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id),
+        )
         written = spark.read.parquet(f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
         write_rows(commit_positions(written.filter(~F.col(RELEASED))), self.folders.commits, batch_id)
         left = {s: n for s, n in slots.items() if s > passed}

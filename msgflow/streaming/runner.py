@@ -30,7 +30,7 @@ from msgflow.config import (
     TopicConfig,
 )
 from msgflow.operators.batching import BATCH_ID, assign_batches
-from msgflow.operators.breaker import breaker_state
+from msgflow.operators.breaker import inherited_breakers, state_after
 from msgflow.operators.handler import BatchHandler, Handler, apply_batch_handler, apply_handler
 from msgflow.operators.joins import checked_join
 from msgflow.operators.offsets import commit_positions
@@ -48,7 +48,7 @@ from msgflow.operators.strategies import (
 from msgflow.schema import LOG_KEY
 from msgflow.session import materialize
 from msgflow.sources.sinks import BATCH_FOLDER, write_dlq, write_retry, write_rows
-from msgflow.streaming.state import OutcomeLog, RunState
+from msgflow.streaming.state import OutcomeLog, RunState, together
 
 Target = Union[str, TopicConfig]
 
@@ -191,12 +191,20 @@ class StreamRun:
         """Routed outcomes, and the pointer to the breakers after them."""
         before = state.table("breaker", state.load(batch_id - 1))
         strategy: CircuitBreaker = self.strategy
-        routed = log.once("routed", batch_id, lambda: strategy.apply(outcomes, initial=before))
-        after = breaker_state(outcomes, strategy.policy, span=strategy.span, initial=before)
+        inherited = log.once(
+            "inherited", batch_id,
+            lambda: inherited_breakers(outcomes, strategy.policy, span=strategy.span, initial=before),
+        )
+        after = state_after(inherited)
         if before is not None:
             idle = before.join(after.select(*LOG_KEY), LOG_KEY, "left_anti")
             after = after.unionByName(idle)
-        return routed, {"tables": {"breaker": state.put("breaker", after, batch_id)}}
+        routed, written = together(
+            outcomes.sparkSession,
+            lambda: log.once("routed", batch_id, lambda: strategy.apply(outcomes, inherited=inherited)),
+            lambda: state.put("breaker", after, batch_id),
+        )
+        return routed, {"tables": {"breaker": written}}
 
     def _process_batches(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -286,10 +294,6 @@ class StreamRun:
         )
         placed = checked_join(assigned, ends.drop("batches", "since"), LOG_KEY, computed=True)
         in_open = F.col("_open").isNotNull() & (F.col(BATCH_ID) == F.col("_open"))
-        tables = {
-            "keys": state.put("keys", ends.select(*LOG_KEY, "batches", "since"), batch_id),
-            "held": state.put("held", placed.filter(in_open).drop("_open", "_before", BATCH_ID), batch_id),
-        }
         closed = (
             placed.filter(~in_open)
             .withColumn(BATCH_ID, F.col(BATCH_ID) + F.col("_before"))
@@ -297,12 +301,17 @@ class StreamRun:
         )
         if overdue is not None:
             closed = closed.unionByName(overdue)
-        outcomes = log.once("outcomes", batch_id, lambda: apply_batch_handler(closed, self.batch_handler))
+        outcomes, keys_at, held_at = together(
+            rows.sparkSession,
+            lambda: log.once("outcomes", batch_id, lambda: apply_batch_handler(closed, self.batch_handler)),
+            lambda: state.put("keys", ends.select(*LOG_KEY, "batches", "since"), batch_id),
+            lambda: state.put("held", placed.filter(in_open).drop("_open", "_before", BATCH_ID), batch_id),
+        )
         self._deliver(apply_strategy(outcomes, self.strategy), batch_id, log)
-        return {"tables": tables}
+        return {"tables": {"keys": keys_at, "held": held_at}}
 
     def _deliver(self, routed: DataFrame, batch_id: int, log: OutcomeLog) -> None:
-        """Write retry and dead-letter rows first, then outcomes and positions.
+        """Write retry rows, dead letters and outcomes, and positions when these are there.
 
         Where the strategy stops the query, rows after the first one that is not
         accepted in their partition are not delivered: they are read again, and the
@@ -314,9 +323,6 @@ class StreamRun:
             routed = until_stop(routed)
         outputs = getattr(self.strategy, "outputs", None)
         pair = outputs(routed) if outputs else None
-        if pair:
-            write_retry(pair[0], self.retry_target, batch_id)
-            write_dlq(pair[1], self.dlq_target, batch_id)
         columns = [
             c
             for c in (
@@ -326,7 +332,13 @@ class StreamRun:
             )
             if c in routed.columns
         ]
-        write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)
+        sinks = [lambda: write_rows(routed.select(*dict.fromkeys(columns)), self.folders.outcomes, batch_id)]
+        if pair:
+            sinks += [
+                lambda: write_retry(pair[0], self.retry_target, batch_id),
+                lambda: write_dlq(pair[1], self.dlq_target, batch_id),
+            ]
+        together(routed.sparkSession, *sinks)
         written = routed.sparkSession.read.parquet(f"{self.folders.outcomes}/{BATCH_FOLDER}={batch_id}")
         handled = merge_routes(until_stop(written)) if may_stop else written
         write_rows(commit_positions(handled), self.folders.commits, batch_id)

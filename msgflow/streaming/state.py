@@ -11,8 +11,10 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
-from typing import Optional
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any, Optional
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from msgflow.sources.sinks import BATCH_FOLDER, write_rows
@@ -21,6 +23,13 @@ from msgflow.sources.sinks import BATCH_FOLDER, write_rows
 KEPT = 2
 
 
+def together(spark: SparkSession, *calls: Callable[[], Any]) -> list[Any]:
+    """Results of Spark actions that do not depend on each other, run at the same time."""
+    threaded = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [f.result() for f in [pool.submit(threaded(c)) for c in calls]]
+
+
 class SharedFiles:
     """Small files and folders, through the file system that Spark uses for the path."""
 

@@ -216,3 +216,14 @@ def test_retry_due(make):
     df = make([at("2024-01-01T00:00:10Z"), at("2024-01-01T00:00:11Z"), at("soon"), {"headers": {}}])
     due = R.retry_due(df, F.lit("2024-01-01 00:00:10").cast("timestamp"))
     assert sorted(r.offset for r in due.collect()) == [0, 2, 3]
+
+
+def test_held_messages_are_read_again(make):
+    from msgflow.operators.strategies import held_again
+
+    log = make([{"offset": i} for i in range(6)])
+    done = [(0, "stop", 0), (0, "commit", 1), (1, "stop", 0), (2, "commit", 0), (3, "commit", 0), (3, "stop", 1), (4, "stop", 2), (4, "commit", 2)]
+    outcomes = log.sparkSession.createDataFrame(
+        [("orders", 0, o, r, n) for o, r, n in done], "topic string, partition int, offset long, route string, micro_batch int"
+    )
+    assert sorted(r.offset for r in held_again(log, outcomes).collect()) == [1, 3]
