@@ -12,17 +12,17 @@ shuffle. The folded table has a fixed size and is broadcast.
 """
 
 import re
-import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence  # noqa: TC003  (read by pandas_udf)
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import small_batches
+from msgflow.llm.arrow_text import mix64, small_batches, spread_table
 from msgflow.session import materialize
 
 BUCKETS = 1 << 18
@@ -44,16 +44,101 @@ UNKNOWN = -4.0
 #: Texts whose subwords are spread out at a time.
 STRETCH = 64
 WORD = re.compile(r"\w+")
-#: Words a worker keeps the weight of before it starts anew, and the longest it keeps.
+#: Words a worker keeps the weight of before it starts a new generation, and the longest it keeps.
 KEPT, LONG_WORD = 150_000, 64
+#: Characters that are hashed by one numpy pass; longer words are passed in slices.
+SLICE = 1 << 18
+#: Bytes of text that go to the driver for training, at most.
+SAMPLE_BYTES = 48 << 20
+#: Characters of text whose words are looked up together.
+TOGETHER = 1 << 22
+FACTORS = spread_table(LONGEST, 41) | np.uint64(1)
+POWER = 0x9E3779B97F4A7C15
+SHIFT = np.uint64(64 - (BUCKETS - 1).bit_length())
 
 
-def subwords(word: str) -> list[int]:
-    """Rows of the table for a word: itself and its n-grams."""
-    marked = f"<{word}>"
-    n = len(marked)
-    grams = [marked[i : i + k] for k in range(SHORTEST, LONGEST + 1) for i in range(n - k + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in [*grams, marked]]
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _row(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Rows of the table for hashes of n-grams of one size (0: whole words)."""
+    return (mix64(hashes + np.uint64(size)) >> SHIFT).astype(np.int64)
+
+
+def _grams(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Size and hash at each place of all n-grams, each size from the one before."""
+    n = len(codes)
+    hashes = np.zeros(n, np.uint64)
+    for size in range(1, min(LONGEST, n) + 1):
+        hashes = hashes[: n - size + 1] + codes[size - 1 :] * FACTORS[size - 1]
+        if size >= SHORTEST:
+            yield size, _row(hashes, size)
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(POWER), np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def subwords(words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the table for all words, in parts: number of the word, and row.
+
+    A word has a row for itself, with marks at its ends, and for each of its n-grams.
+    """
+    lo = 0
+    while lo < len(words):
+        hi, size = lo, 0
+        while hi < len(words) and (hi == lo or size + len(words[hi]) + 2 <= SLICE):
+            size += len(words[hi]) + 2
+            hi += 1
+        if size > SLICE:
+            yield from _long_word(words[lo], lo)
+        else:
+            yield from _short_words(words[lo:hi], lo)
+        lo = hi
+
+
+def _short_words(words: Sequence[str], number: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    codes = _codes("".join([f"<{w}>" for w in words]))
+    lengths = np.array([len(w) + 2 for w in words])
+    ends = np.cumsum(lengths)
+    word = np.repeat(np.arange(len(words)), lengths)
+    left = ends[word] - np.arange(len(codes))
+    for size, rows in _grams(codes):
+        inside = np.flatnonzero(left[: len(rows)] >= size)
+        yield number + word[inside], rows[inside]
+    starts = ends - lengths
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    whole = np.add.reduceat(codes * _powers(int(lengths.max()))[place], starts)
+    yield number + np.arange(len(words)), _row(whole, 0)
+
+
+def _long_word(word: str, number: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    n, whole, scale = len(word) + 2, 0, 1
+    for lo in range(0, n, SLICE):
+        hi = lo + SLICE + LONGEST - 1
+        part = ("<" if lo == 0 else "") + word[max(lo - 1, 0) : hi - 1] + (">" if hi >= n else "")
+        codes = _codes(part[: hi - lo])
+        own = codes[:SLICE]
+        for _, rows in _grams(codes):
+            rows = rows[:SLICE]  # n-grams that start later are the next slice's
+            yield np.full(len(rows), number), rows
+        whole = (whole + scale * int((own * _powers(len(own))).sum(dtype=np.uint64))) & (2**64 - 1)
+        scale = scale * pow(POWER, len(own), 1 << 64) & (2**64 - 1)
+    yield np.array([number]), _row(np.array([whole], np.uint64), 0)
+
+
+def weigh(words: Sequence[str], folded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the weights of each word's rows, and how many rows it has."""
+    sums, counts = np.zeros(len(words)), np.zeros(len(words), np.int64)
+    for word, rows in subwords(words):
+        if len(word):
+            first, last = int(word[0]), int(word[-1]) + 1
+            sums[first:last] += np.bincount(word - first, folded[rows], last - first)
+            counts[first:last] += np.bincount(word - first, minlength=last - first)
+    return sums, counts
 
 
 def words_of(text: str) -> list[str]:
@@ -66,20 +151,20 @@ class Bags:
     def __init__(self, texts: Sequence[str]):
         # Compact arrays: the driver holds this for the whole sample.
         number: dict[str, int] = {}
-        ids, counts, grams = array("i"), array("i"), array("i")
-        lengths, sizes = [], []
+        ids, counts, lengths = array("i"), array("i"), []
         for text in texts:
             bag = Counter(words_of(text))
             ids.extend(number.setdefault(w, len(number)) for w in bag)
             counts.extend(bag.values())
             lengths.append(len(bag))
-        for word in number:
-            rows = subwords(word)
-            sizes.append(len(rows))
-            grams.extend(rows)
-        self.word, self.count, self.gram = (np.frombuffer(x, np.int32) for x in (ids, counts, grams))
+        self.word, self.count = (np.frombuffer(x, np.int32) for x in (ids, counts))
         self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
-        self.size = np.array(sizes, np.int64)
+        parts = [(w.astype(np.int32), r.astype(np.int32)) for w, r in subwords(list(number))]
+        word = np.concatenate([np.zeros(0, np.int32), *[w for w, _ in parts]])
+        gram = np.concatenate([np.zeros(0, np.int32), *[r for _, r in parts]])
+        del parts
+        self.size = np.bincount(word, minlength=len(number)).astype(np.int64)
+        self.gram = gram[np.argsort(word, kind="stable")]
         self.first = np.cumsum(self.size) - self.size
         #: Subwords of each text, repeats counted.
         self.total = np.maximum(np.bincount(self.doc, self.count * self.size[self.word], len(texts)), 1)
@@ -125,16 +210,35 @@ def telling_rows(bags: Bags, y: np.ndarray) -> np.ndarray:
         clear, least = clear * 0.75, max(1, least // 2)
 
 
-def train(texts: Sequence[str], labels: Sequence[int]) -> tuple[np.ndarray, float]:
-    """Folded weights of all rows of the table, and the bias, for the log-odds of label 1."""
+class Model(NamedTuple):
+    """Vectors of the rows of the table that were trained (all others are zero), softmax and bias."""
+
+    used: np.ndarray
+    table: np.ndarray
+    soft: np.ndarray
+    bias: np.ndarray
+
+    def folded(self) -> tuple[np.ndarray, float]:
+        """One weight for each row of the table, and a bias, for the log-odds of label 1."""
+        weights = np.zeros(BUCKETS, np.float32)
+        weights[self.used] = self.table @ (self.soft[:, 1] - self.soft[:, 0]) * SCALE
+        return weights, float(self.bias[1] - self.bias[0])
+
+
+def constant_model(odds: float) -> Model:
+    return Model(np.zeros(0, np.int64), np.zeros((0, WIDTH)), np.zeros((WIDTH, 2)), np.array([0.0, odds]))
+
+
+def train(texts: Sequence[str], labels: Sequence[int]) -> Model:
+    """Table and softmax, trained jointly."""
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         # Nothing to tell apart: always the only class, or 0 without rows.
-        return np.zeros(BUCKETS, np.float32), -UNKNOWN if len(y) and y[0] else UNKNOWN
+        return constant_model(-UNKNOWN if len(y) and y[0] else UNKNOWN)
     bags = Bags(texts)
     keep = telling_rows(bags, y)
     if not keep.any():
-        return np.zeros(BUCKETS, np.float32), UNKNOWN
+        return constant_model(UNKNOWN)
     parts = [bags.pairs(lo, lo + STRETCH, keep) for lo in range(0, len(y), STRETCH)]
     doc, row, count = (np.concatenate(x) for x in zip(*parts))
     used, row = np.unique(row, return_inverse=True)
@@ -160,9 +264,7 @@ def train(texts: Sequence[str], labels: Sequence[int]) -> tuple[np.ndarray, floa
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             value -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    folded = np.zeros(BUCKETS, np.float32)
-    folded[used] = table @ (soft[:, 1] - soft[:, 0]) * SCALE
-    return folded, float(bias[1] - bias[0])
+    return Model(used, table, soft, bias)
 
 
 def _sums(rows: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -171,27 +273,56 @@ def _sums(rows: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 class Scorer:
-    """Scores whole texts with folded weights; the weight of a word is kept once it was computed."""
+    """Scores whole texts with folded weights.
+
+    What is kept, by word as it stands between blanks: the sum of its weights and their number. There
+    are two generations, so that what is asked for again outlives the change to a new one.
+    """
 
     def __init__(self, folded: np.ndarray, bias: float):
         self.folded, self.bias = folded, bias
-        self.known: dict[str, tuple[float, int]] = {}
-
-    def _chunk(self, chunk: str) -> tuple[float, int]:
-        rows = [x for w in WORD.findall(chunk) for x in subwords(w)]
-        out = (float(self.folded[rows].sum(dtype=np.float64)), len(rows))
-        if len(chunk) <= LONG_WORD:
-            if len(self.known) >= KEPT:
-                self.known.clear()
-            self.known[chunk] = out
+        self.young: dict[str, tuple[float, int]] = {}
+        self.old: dict[str, tuple[float, int]] = {}
+
+    def _weights(self, wanted: set[str]) -> dict[str, tuple[float, int]]:
+        """Sum and number of the weights of each chunk."""
+        young, old = self.young, self.old
+        out = {c: young.get(c) or old.get(c) for c in wanted}
+        new = [c for c, known in out.items() if known is None]
+        if new:
+            words = [WORD.findall(c) for c in new]
+            sums, counts = weigh([w for ws in words for w in ws], self.folded)
+            ends = np.cumsum([len(ws) for ws in words])
+            total = np.concatenate([[0.0], np.cumsum(sums)])
+            rows = np.concatenate([[0], np.cumsum(counts)])
+            starts = ends - [len(ws) for ws in words]
+            alone = (ends - starts) == 1
+            # A difference of running sums loses digits; most chunks are one word.
+            each = np.where(alone, sums[np.minimum(starts, max(len(sums) - 1, 0))] if len(sums) else 0.0, total[ends] - total[starts])
+            out.update(zip(new, zip(each.tolist(), (rows[ends] - rows[starts]).tolist())))
+        short = {c: v for c, v in out.items() if len(c) <= LONG_WORD}
+        young.update(short)
+        if len(young) >= KEPT:
+            self.young, self.old = {}, young
         return out
 
-    def odds(self, text: str) -> float:
+    def odds(self, texts: Sequence[str]) -> list[float]:
         """Log-odds of label 1."""
-        known, make = self.known, self._chunk
-        pairs = [known.get(c) or make(c) for c in text.lower().split()]
-        rows = sum([n for _, n in pairs])
-        return self.bias + (sum([s for s, _ in pairs]) / rows if rows else 0.0)
+        out: list[float] = []
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= TOGETHER):
+                size += len(texts[hi])
+                hi += 1
+            chunks = [t.lower().split() for t in texts[lo:hi]]
+            known = self._weights(set().union(*chunks))
+            for some in chunks:
+                pairs = [known[c] for c in some]
+                rows = sum([n for _, n in pairs])
+                out.append(self.bias + (sum([s for s, _ in pairs]) / rows if rows else 0.0))
+            lo = hi
+        return out
 
 
 def held_out(key: str):
@@ -199,31 +330,51 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, bounds=SAMPLE) -> list:
-    """At most ``bounds`` rows of label 1 and 0, chosen by a hash of the key; texts and labels."""
+def training_sample(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
+    bounds: tuple[int, int] = SAMPLE, long_text: int = LONG_TEXT, most_bytes: int = SAMPLE_BYTES,
+) -> list:
+    """At most ``bounds`` rows of label 1 and 0, chosen by a hash of the key; texts and labels.
+
+    Keys whose text is longer than ``long_text`` are left out before the draw; each label's rows end
+    where half of ``most_bytes`` is used up.
+    """
+    sizes = docs.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text")).filter(
+        F.length("_text") <= long_text
+    ).groupBy("_id").agg(F.max(F.octet_length("_text")).alias("_bytes"))
     clear = (
         labels.filter(F.col(label).isin(0, 1) & ~held_out(key)).groupBy(F.col(key).alias("_id"))
         .agg(F.min(label).alias("_label"), F.max(label).alias("_most")).filter("_label = _most")
-        .join(docs.select(F.col(f"`{key}`").alias("_id")).distinct(), "_id", "left_semi")
+        .join(sizes, "_id")
     )
     chosen = None
     for value, bound in ((1, bounds[0]), (0, bounds[1])):
         some = clear.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(bound)
         chosen = some if chosen is None else chosen.unionByName(some)
-    chosen = materialize(chosen.select("_id", "_label"))
-    # At most sum(bounds) rows, so the texts are not shuffled for them.
+    chosen = materialize(chosen.select("_id", "_label", "_bytes", F.xxhash64("_id").alias("_order")))
+    # At most sum(bounds) rows: ids and sizes only.
+    picked, used = [], {0: 0, 1: 0}
+    for r in sorted(chosen.collect(), key=lambda r: (r["_order"], r["_id"])):
+        used[r["_label"]] += r["_bytes"]
+        if used[r["_label"]] <= most_bytes // 2:
+            picked.append((r["_id"], r["_label"]))
+    spark = docs.sparkSession
+    few = spark.createDataFrame(picked, chosen.select("_id", "_label").schema)
     rows = (
         docs.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-        .join(F.broadcast(chosen), "_id")
-        .filter(F.length("_text") <= LONG_TEXT).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+        .join(F.broadcast(few), "_id")
+        .filter(F.length("_text") <= long_text).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
     )
     return sorted((r["_id"], r["_text"], int(r["_label"])) for r in rows.collect())
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[np.ndarray, float]:
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    bounds: tuple[int, int] = SAMPLE, long_text: int = LONG_TEXT, most_bytes: int = SAMPLE_BYTES,
+) -> tuple[np.ndarray, float]:
     """Train on the labelled rows that are not held out; without such rows every score is low."""
-    rows = training_sample(docs, labels, key, text, label)
-    return train([t for _, t, _ in rows], [y for _, _, y in rows])
+    rows = training_sample(docs, labels, key, text, label, bounds, long_text, most_bytes)
+    return train([t for _, t, _ in rows], [y for _, _, y in rows]).folded()
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text"):
@@ -233,25 +384,29 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text"):
     def odds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(*shared.value)
         for texts in batches:
-            yield pd.Series([scorer.odds(t or "") for t in texts], dtype="float64")
+            yield pd.Series(scorer.odds([t or "" for t in texts]), dtype="float64")
 
     return F.lit(1.0) / (1.0 + F.exp(-F.pandas_udf(odds, "double")(F.col(f"`{text}`"))))
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def toxicity_report(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", **sample
+) -> DataFrame:
     """One row per row of ``docs``: key, held_out, score, predicted.
 
     Learns from ``labels`` (key, label 0 or 1; other labels and keys with both are left out),
     never from held-out rows. If the classes have the same words, every score is low. Null and empty texts get the score of the bias alone. Rows that
     repeat score alike; an empty table gives no rows; without labels of both classes all texts
-    get one score. Other columns are not looked at.
+    get one score. Other columns are not looked at. ``sample``: the bounds of ``training_sample``.
     """
-    scored = score(docs, fit(docs, labels, key, text, label), text)
+    scored = score(docs, fit(docs, labels, key, text, label, **sample), text)
     return docs.select(
         F.col(f"`{key}`").alias(key), held_out(key).alias("held_out"), scored.alias("score")
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", **sample
+) -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5."""
-    return docs.filter(score(docs, fit(docs, labels, key, text, label), text) < 0.5)
+    return docs.filter(score(docs, fit(docs, labels, key, text, label, **sample), text) < 0.5)

@@ -265,16 +265,16 @@ def test_few_labelled_rows_are_learned_from(clean, toxic):
     plain = lambda: " ".join(r.choices(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"], k=40))
     marked = lambda: " ".join([plain(), "grobian", "grobian", plain()])
     texts = [plain() + " " + plain() for _ in range(clean)] + [marked() for _ in range(toxic)]
-    scorer = toxicity.Scorer(*toxicity.train(texts, [0] * clean + [1] * toxic))
-    assert all(scorer.odds(marked()) > 0 for _ in range(20))
-    assert all(scorer.odds(plain() + " " + plain()) < 0 for _ in range(20)) and scorer.odds("") < 0
+    scorer = toxicity.Scorer(*toxicity.train(texts, [0] * clean + [1] * toxic).folded())
+    assert min(scorer.odds([marked() for _ in range(20)])) > 0
+    assert max(scorer.odds([plain() + " " + plain() for _ in range(20)] + [""])) < 0
 
 
 @pytest.mark.parametrize("clean,toxic", [(40, 4), (20, 3), (3, 2), (60, 5), (5, 2)])
 def test_no_difference_scores_low(clean, toxic):
     for text in ("the same words", ""):
-        scorer = toxicity.Scorer(*toxicity.train([text] * (clean + toxic), [0] * clean + [1] * toxic))
-        assert scorer.odds(text) < -1 and scorer.odds("other") < -1
+        scorer = toxicity.Scorer(*toxicity.train([text] * (clean + toxic), [0] * clean + [1] * toxic).folded())
+        assert max(scorer.odds([text, "other"])) < -1
 
 
 def test_rows_that_share_a_key_are_dropped_as_marked(spark):
