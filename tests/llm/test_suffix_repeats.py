@@ -2,23 +2,34 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from msgflow.llm import suffix_repeats as sr
 
 
-def brute(texts):
+def removed(texts, keep_first=False):
+    """Bytes of each text and a mark for each byte that goes, by a table of all strings."""
     raw = [(t or "").encode() for t in texts]
-    seen = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399))
+    seen, first = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399)), {}
     out = []
-    for b in raw:
+    for n, b in enumerate(raw):
         gone = bytearray(len(b))
         for i in range(len(b) - 399):
-            if seen[b[i : i + 400]] > 1:
+            string = b[i : i + 400]
+            if first.setdefault(string, (n, i)) != (n, i) if keep_first else seen[string] > 1:
                 gone[i : i + 400] = b"\1" * 400
+        out.append((b, gone))
+    return out
+
+
+def brute(texts, keep_first=False):
+    out = []
+    for b, gone in removed(texts, keep_first):
         kept = bytes(x for x, g in zip(b, gone) if not g)
-        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
-        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        starts = [i for i, g in enumerate(gone) if g and not (i and gone[i - 1])]
+        ends = [i + 1 for i, g in enumerate(gone) if g and not (i + 1 < len(gone) and gone[i + 1])]
+        out.append((len(b), sum(gone), len(starts), hashlib.sha256(kept).hexdigest(), list(zip(starts, ends))))
     return out
 
 
@@ -45,12 +56,77 @@ def made(seed):
     return texts
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
 @pytest.mark.parametrize("seed,group", [(1, 2000), (2, 2000), (3, 2000), (1, 2), (4, 1)])
-def test_equals_brute_force(spark, seed, group):
+def test_equals_brute_force(spark, seed, group, keep_first):
     texts = made(seed)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, _row string")
-    got = sorted(map(tuple, sr.repeated_bytes(df.repartition(5), group=group).collect()))
-    assert [g[1:] for g in got] == brute(texts)
+    got = sorted(sr.repeated_bytes(df.repartition(5), group=group, keep_first=keep_first).collect())
+    assert [(*g[1:5], [tuple(x) for x in g[5]]) for g in got] == brute(texts, keep_first)
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_kept_text(spark, keep_first):
+    texts = made(5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in sr.without_repeats(df, keep_first=keep_first).collect()}
+    for i, (b, gone) in enumerate(removed(texts, keep_first)):
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        assert bytes(got[i].kept) == kept
+        spans = [tuple(s) for s in got[i].spans]
+        assert b"".join(b[lo:hi] for lo, hi in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(b)])) == kept
+
+
+def test_first_copies_stay_once(spark):
+    t = "".join(random.Random(6).choices("abcdefgh ", k=800))
+    df = spark.createDataFrame([(5, t), (5, t), (3, t), (None, "a" + t), (9, t[100:] + "end")], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_removed) for r in sr.repeated_bytes(df, keep_first=True).collect())
+    assert got == [("3", 800), ("5", 800), ("5", 800), ("9", 700), ("None", 0)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_orders_of_suffixes(seed):
+    """Byte order and common prefixes at every distance, against sorting."""
+    r = random.Random(seed)
+    parts = ["".join(r.choice("ab") for _ in range(n)) for n in (5, 40, 200, 380)]
+    contexts = [("".join(r.choices(parts, k=3)) + "x" * r.randint(0, 3)).encode()[: r.randint(420, 700)] for _ in range(40)]
+    contexts = [c for c in contexts if len(c) > 400]
+    lefts = np.array([r.randint(0, min(300, len(c) - 101)) for c in contexts])
+    grams = np.array([r.randint(0, 1) for _ in contexts])
+    order = sr.SuffixOrder(grams, lefts, contexts)
+    for distance in range(int(lefts.max()) + 1):
+        if distance:
+            order.step()
+        own = [i for i in range(len(contexts)) if lefts[i] >= distance]
+        assert sorted(order.order.tolist()) == own
+        suffix = {i: contexts[i][lefts[i] - distance :] for i in own}
+        left = {i: contexts[i][lefts[i] - distance : lefts[i]] for i in own}
+        right = {i: contexts[i][lefts[i] :] for i in own}
+        rank = sorted(own, key=lambda i: (left[i], grams[i], right[i]))
+        assert [(left[i], grams[i], right[i]) for i in order.order] == [(left[i], grams[i], right[i]) for i in rank]
+        for k in range(1, len(own)):
+            a, b = order.order[k - 1], order.order[k]
+            if grams[a] == grams[b]:
+                same = next((n for n, (x, y) in enumerate(zip(suffix[a], suffix[b])) if x != y), min(len(suffix[a]), len(suffix[b])))
+                assert order.common[k] == same
+
+
+def test_smaller_values_beside():
+    r = random.Random(1)
+    for _ in range(300):
+        n = r.randint(0, 30)
+        place = np.array(r.sample(range(100), n), np.int64)
+        run = np.cumsum(np.array([r.random() < 0.3 for _ in range(n)], np.int64))
+        got = sr._beside(place, run, 101)
+        assert got.tolist() == [any(run[j] == run[i] and place[j] < place[i] for j in range(n)) for i in range(n)]
+
+
+def test_anchors_in_slices(monkeypatch):
+    r = random.Random(2)
+    data = np.frombuffer(bytes(r.choices(b"abcd", k=9_000)), np.uint8)
+    whole = sr.anchors(data)
+    monkeypatch.setattr(sr, "SLICE", 1_000)
+    assert all((a == b).all() for a, b in zip(whole, sr.anchors(data)))
 
 
 def test_rows_that_repeat_and_null_keys(spark):
