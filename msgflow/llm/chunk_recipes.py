@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgflow.llm.arrow_text import BLOCK, LOWER, small_batches, spread_table, text_bytes
+from msgflow.operators.joins import salted_join
 from msgflow.session import materialize
 
 WINDOW = 32
@@ -27,7 +28,6 @@ WINDOW = 32
 CUT_BITS = 10
 SHORTEST, LONGEST = 256, 8192
 GEAR = spread_table(256, 11, np.uint32)
-LOWEST = -(1 << 63)
 
 
 def cut_candidates(data: np.ndarray) -> np.ndarray:
@@ -124,7 +124,7 @@ def clashing_ids(texts: DataFrame, seed: int, name=chunk_id) -> DataFrame:
 
 def recipes(docs: DataFrame, key: str, text: str, name=chunk_id) -> DataFrame:
     """A table of (_key, _sha, _recipe, _row); equal recipes mean equal normalised texts."""
-    texts = small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    texts = small_batches(docs).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
     for seed in range(64):
         if clashing_ids(texts, seed, name).isEmpty():
@@ -140,17 +140,17 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", name=
 
     Texts are equal when they are identical after lowering A-Z; null counts as empty. Of equal
     texts the row with the largest key stays, a null key being the smallest; if rows repeat
-    that key, exactly one of them is kept. An empty table gives no rows. Other columns of
+    that key, exactly one of them is kept. Keys may be of any type that has an order. An empty table gives no rows. Other columns of
     ``docs`` are not looked at.
     """
     table = recipes(docs, key, text, name)
     groups = materialize(
         table.groupBy("_recipe").agg(
             F.max("_key").alias("keep_id"), F.count(F.lit(1)).alias("group_size"),
-            F.max_by("_row", F.coalesce(F.col("_key"), F.lit(LOWEST))).alias("_kept_row"),
+            F.max_by("_row", F.struct(F.col("_key").isNotNull(), "_key", "_row")).alias("_kept_row"),
         )
     )
-    return table.join(groups, "_recipe").select(
+    return salted_join(table, groups, ["_recipe"], "inner").select(
         F.col("_key").alias(key), "keep_id", "group_size",
         (F.col("_row") == F.col("_kept_row")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"),
     )
@@ -170,6 +170,7 @@ def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text")
     if repeated.isEmpty():
         return gone
     # Rows repeated with key and text: one of each stays.
-    twice = docs.join(repeated, same(repeated), "left_semi").withColumn("_sha", sha)
-    one = twice.dropDuplicates([key, "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = docs.join(repeated, same(repeated), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    one = twice.select(whole, F.col(f"`{key}`").alias("_key"), sha.alias("_sha")).dropDuplicates(["_key", "_sha"]).select("_doc.*")
     return gone.unionByName(one)

@@ -152,11 +152,13 @@ def mix(
     thresholds, one row per source. Documents of sources without words are left out.
     """
     _, cuts = _plan(docs, key, text, source, weights, share, most)
-    marked = _with_source(docs.withColumn("_hash", key_hash(key)), source)
+    # The document goes into one column, so that none of its names meets one of these.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    marked = _with_source(docs.select(whole, key_hash(key).alias("_hash"), F.col(f"`{source}`").cast("string").alias("_of")), "_of")
     return (
         checked_join(marked, cuts.select(*SOURCE, "_times", "_cut"), SOURCE, "inner", computed=True)
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), _copies())))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select("_doc.*")
     )
 
 

@@ -113,6 +113,10 @@ def _unbase64(text: str, url: bool = False) -> bytes | None:
         return None
 
 
+#: Longer values are no keys (an RSA key of 16,384 bits has about 10,000 bytes, its public part 2,100).
+KEY_BYTES, PUBLIC_BYTES = 1 << 14, 1 << 12
+
+
 def der_size(data: bytes) -> int | None:
     """Bytes of the value that ``data`` starts with, if it is a sequence that starts with a version."""
     if len(data) < 12 or data[0] != SEQUENCE:
@@ -123,14 +127,23 @@ def der_size(data: bytes) -> int | None:
     return 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
 
 
-def openssh_size(data: bytes) -> int | None:
-    """Bytes up to the end of the last field of an OpenSSH key."""
-    at = len(b"openssh-key-v1\0")
-    for numbered in (False, False, False, True, False, False):
-        if at + 4 > len(data):
+def openssh_size(text: str, at: int) -> int | None:
+    """Bytes up to the end of the last field of the OpenSSH key in base64 at this place.
+
+    Reads as far as the next length and no further, so that a line which only starts like a
+    key costs little.
+    """
+    end = len(b"openssh-key-v1\0")
+    # Names, their options, the number of keys, and two fields of key material.
+    for most in (64, 64, 256, None, PUBLIC_BYTES, KEY_BYTES):
+        data = _unbase64(_whole(_letters(text, at, -(-(end + 4) * 4 // 3))[0])) or b""
+        if len(data) < end + 4:
+            return None
+        size = 0 if most is None else int.from_bytes(data[end : end + 4], "big")
+        if most is not None and size > most:
             return None
-        at += 4 + (0 if numbered else int.from_bytes(data[at : at + 4], "big"))
-    return at
+        end += 4 + size
+    return end
 
 
 def _letters(text: str, at: int, most: int) -> tuple[str, int]:
@@ -152,9 +165,9 @@ def base64_key(text: str, at: int) -> tuple[int, int] | None:
     if head[:1] == b"\x30":
         size = der_size(head)
     else:
-        size = openssh_size(_unbase64(_whole(_letters(text, at, len(text))[0])) or b"")
+        size = openssh_size(text, at)
     letters = -(-(size or 0) * 4 // 3)
-    if not 0 < letters <= len(text) - at:
+    if not 0 < letters <= min(len(text) - at, 2 * KEY_BYTES):
         return None
     run, end = _letters(text, at, letters)
     key = _unbase64(run) if len(run) == letters else None
@@ -239,8 +252,8 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ``spans`` lists kind:start:end in code points, end exclusive, by start and then by kind;
     ``base_sha256`` is the digest of that list for the three plain kinds. Null and empty texts have
     none. Rows that repeat are scanned alike; an empty table gives no rows; other columns are not
-    looked at. Whole texts are scanned, one at a time, in time linear in their length
-    unless their lines are built like starts of keys.
+    looked at. Whole texts are scanned, one at a time, in time linear in their length. What
+    claims to be a key of more than ``KEY_BYTES`` bytes is none.
     """
     kind = docs.schema[key].dataType.simpleString()
     return small_batches(docs).select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from msgflow.llm.arrow_text import small_batches
 
 RULES = ("first", "last", "most")
+#: Characters that the pattern takes for white space, and runs of these that the library's pattern matcher cannot hold.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_BLANK = re.compile(f"[{BLANKS}]{{8192,}}")
 _BUILT: dict[str, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
@@ -43,6 +47,21 @@ def encoding_of(ranks_text: bytes, pattern: str, digest: str) -> tuple[tiktoken.
     return _BUILT[digest]
 
 
+def encode(coder: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text; very long runs of white space go to the merges without the pattern.
+
+    The pattern takes such a run as one piece: whole at the end of the text, else without its last
+    character, which belongs to what follows.
+    """
+    out, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += coder.encode_ordinary(text[at : run.start()])
+        out += coder._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + coder.encode_ordinary(text[at:]) if at else coder.encode_ordinary(text)
+
+
 def line_ends(data: np.ndarray) -> np.ndarray:
     """Ends of the sections of a text: its lines, each with its line feed; an empty text is one section."""
     ends = np.flatnonzero(data == 10) + 1
@@ -74,7 +93,7 @@ def _count(shared, pattern: str, digest: str, rule: str):
             for row, text in enumerate(batch.column(1).to_pylist()):
                 raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
                 ends = line_ends(raw)
-                ids = np.array(coder.encode_ordinary(text or ""), np.int64)
+                ids = np.array(encode(coder, text or ""), np.int64)
                 section, crosses = allocate(np.cumsum(lengths[ids]), ends, rule)
                 # Characters are bytes that do not continue one.
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[np.concatenate([[0], ends])]
