@@ -7,8 +7,8 @@ low ones are noise (a plane that does not shrink is stored as it is). Behind the
 documents' keys and lengths, and a chunk index with the size of every plane, so a reader gets to any
 range of ids by decoding the chunks that hold it and nothing else.
 
-Texts are encoded once and only their ids are sorted: they are a quarter of the text. A task writes
-files of its own under names that no other attempt uses; the manifest, a table that Spark commits, names
+Texts are dealt out by ranges of their key and encoded in the task that writes them, so they move once
+and nothing lies between text and file. A task writes files of its own under names that no other attempt uses; the manifest, a table that Spark commits, names
 the files that count, so a lost executor or a repeated task leaves at most files that nobody reads.
 """
 
@@ -24,18 +24,19 @@ from typing import Optional
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msgflow.llm.arrow_text import byte_slices
-from msgflow.session import materialize, run_dir
+from msgflow.llm.arrow_text import byte_slices, small_batches
+from msgflow.session import file_system, materialize, planned_bytes, run_dir
 
 MAGIC = b"MFLOWIDS"
 #: Ids of a chunk, and ids after which a task starts its next file.
 CHUNK_IDS, FILE_IDS = 1 << 16, 1 << 26
+#: Bytes of the table for each range at most; the session's shuffle partitions are the least number of ranges.
+PART_BYTES = 256 << 20
 #: Id written behind every document.
 END = 0
 LEVEL = 3
@@ -64,11 +65,6 @@ def from_planes(planes: np.ndarray, n: int, width: int, bits: int) -> np.ndarray
 # -- one file -------------------------------------------------------------
 
 
-def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a shared folder (local or mounted, HDFS, an object store) and the path in it."""
-    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
-
-
 class IdWriter:
     """Writes one file; ``add`` takes whole documents."""
 
@@ -212,7 +208,7 @@ class PieceEncoder:
     #: A blank that no visible character follows.
     OPEN = r" ([\s\p{Z}\x{85}]|$)"
     CUT = re.compile(r" (?=\S)")
-    KEPT, LONG, ASKED = 400_000, 64, 4_096
+    KEPT, LONG, ASKED = 500_000, 64, 4_096
 
     def __init__(self, path: str):
         import os
@@ -223,19 +219,39 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
-
-    def ask(self, texts: list[str]) -> list[np.ndarray]:
-        found = []
-        for lo in range(0, len(texts), self.ASKED):
-            some = self.library.encode_batch_fast(texts[lo : lo + self.ASKED], add_special_tokens=False)
-            found += [np.array(e.ids, self.kind) for e in some]
-        return found
+        #: Bytes of text behind each id; byte-level tokens have one letter for each.
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.lengths[number] = len(token)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ask(self, texts: list[str]) -> list[bytes]:
+        """Ids of pieces from the library; those behind a blank in one text, as they keep apart there."""
+        out: list[bytes] = [b""] * len(texts)
+        blanked = [i for i, t in enumerate(texts) if t.startswith(" ")]
+        for lo in range(0, len(blanked), self.ASKED):
+            some = blanked[lo : lo + self.ASKED]
+            whole = self.library.encode_batch_fast(["".join([texts[i] for i in some])], add_special_tokens=False)[0]
+            ids = np.array(whole.ids, self.kind)
+            token_ends = np.cumsum(self.lengths[ids])
+            ends = np.cumsum([len(texts[i].encode()) for i in some])
+            cuts = np.searchsorted(token_ends, ends)
+            if not len(ids) or cuts[-1] >= len(ids) or (token_ends[cuts] != ends).any():
+                raise ValueError("the vocabulary's pieces do not keep apart; it is no byte-level one")
+            raw, at = ids.tobytes(), 0
+            for i, cut in zip(some, ((cuts + 1) * self.width).tolist()):
+                out[i], at = raw[at:cut], cut
+        others = [i for i, t in enumerate(texts) if not t.startswith(" ")]
+        found = self.library.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
+        for i, one in zip(others, found):
+            out[i] = np.array(one.ids, self.kind).tobytes()
+        return out
 
-    def pieces(self, texts: list[str]) -> list[np.ndarray]:
+    def pieces(self, texts: list[str]) -> list[bytes]:
         young, old = self.young, self.old
         out = [young.get(p) for p in texts]
         missing = [i for i, ids in enumerate(out) if ids is None]
@@ -278,8 +294,8 @@ class PieceEncoder:
         number[first] = len(coded.dictionary) + np.arange(len(first))
         blanked = [f" {w}" for w in coded.dictionary.to_pylist()]
         distinct = self.pieces(blanked + words.take(pa.array(first)).to_pylist())
-        sizes = np.array([len(p) for p in distinct], np.int64)
-        flat, begins = np.concatenate([*distinct, np.zeros(0, self.kind)]), np.cumsum(sizes) - sizes
+        sizes = np.array([len(p) for p in distinct], np.int64) // self.width
+        flat, begins = np.frombuffer(b"".join(distinct), self.kind), np.cumsum(sizes) - sizes
         each = sizes[number]
         ends = np.cumsum(each)
         place = np.repeat(begins[number] - (ends - each), each) + np.arange(ends[-1])
@@ -292,11 +308,15 @@ def _offsets(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)])
 
 
-def _binaries(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """Slices of a flat array as binary values."""
-    ends = (_offsets(lengths) * flat.dtype.itemsize).astype(np.int64)
-    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))]
-    return pa.Array.from_buffers(pa.large_binary(), len(lengths), buffers).cast(pa.binary())
+_BUILT: dict[str, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """The process's encoder; a worker keeps its pieces from one task to the next."""
+    if path not in _BUILT:
+        _BUILT.clear()
+        _BUILT[path] = PieceEncoder(path)
+    return _BUILT[path]
 
 
 def _with_ends(flat: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,56 +325,45 @@ def _with_ends(flat: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndar
     return out, lengths + 1
 
 
-def _encode(vocabulary: str, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary)
-        for batch in batches:
-            for some in byte_slices(batch, "_text"):
-                lengths, flat = encoder.encode(some.column(1))
-                flat, lengths = _with_ends(flat[:], lengths, end)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(lengths, pa.int64()), _binaries(flat, lengths)], ["_key", "_n", "_ids"]
-                )
-
-    return run
+# -- the corpus -----------------------------------------------------------
 
+FILE_ROW = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
-# -- the corpus -----------------------------------------------------------
 
+def _write(vocabulary: str, end: int, folder: str, bits: int, chunk_ids: int, file_ids: int):
+    """Encode the documents of a range in their order, and write its files; one row for each file."""
 
-def _write(folder: str, width: int, bits: int, chunk_ids: int, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, out, name = TaskContext.get().partitionId(), 0, None, ""
+        encoder, part, number = encoder_of(vocabulary), TaskContext.get().partitionId(), 0
+        out: Optional[IdWriter] = None
+        name, n_docs = "", 0
 
-        def done():
+        def closed() -> pa.RecordBatch:
             out.close()
-            row = [(part, number, name, len_docs[0], out.n_ids)]
-            return pa.RecordBatch.from_pylist(
-                [dict(zip(("part", "number", "file", "n_docs", "n_ids"), r)) for r in row],
-                pa.schema([("part", pa.int32()), ("number", pa.int32()), ("file", pa.string()),
-                           ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
-            )
+            row = {"part": part, "number": number, "file": name, "n_docs": n_docs, "n_ids": out.n_ids}
+            return pa.RecordBatch.from_pylist([row], FILE_ROW)
 
-        len_docs = [0]
         for batch in batches:
-            keys, lengths, packed = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
-            ends, lo = np.cumsum(lengths), 0
-            while lo < len(lengths):
-                if out is None:
-                    name = f"part-{part:05d}-{number:04d}-{uuid.uuid4().hex}.ids"
-                    out, len_docs[0] = IdWriter(f"{folder}/{name}", width, bits, chunk_ids), 0
-                # Documents up to the one that fills the file.
-                room = file_ids - out.n_ids + int(ends[lo] - lengths[lo])
-                hi = min(len(lengths), int(np.searchsorted(ends, room, side="left")) + 1)
-                ids = np.frombuffer(b"".join(packed[lo:hi].to_pylist()), f"<u{width}")
-                out.add(keys[lo:hi], lengths[lo:hi], ids)
-                len_docs[0] += hi - lo
-                lo = hi
-                if out.n_ids >= file_ids:
-                    yield done()
-                    out, number = None, number + 1
+            for some in byte_slices(batch, "_text"):
+                lengths, ids = encoder.encode(some.column(1))
+                ids, lengths = _with_ends(ids, lengths, end)
+                offsets, lo = _offsets(lengths), 0
+                while lo < len(lengths):
+                    if out is None:
+                        # A name that no other attempt of this task uses.
+                        name, n_docs = f"part-{part:05d}-{number:04d}-{uuid.uuid4().hex}.ids", 0
+                        out = IdWriter(f"{folder}/{name}", encoder.width, bits, chunk_ids)
+                    # Documents up to the one that fills the file.
+                    full = offsets[lo] + file_ids - out.n_ids
+                    hi = max(lo + 1, min(len(lengths), int(np.searchsorted(offsets, full, side="left"))))
+                    out.add(some.column(0)[lo:hi], lengths[lo:hi], ids[offsets[lo] : offsets[hi]])
+                    n_docs += hi - lo
+                    lo = hi
+                    if out.n_ids >= file_ids:
+                        yield closed()
+                        out, number = None, number + 1
         if out is not None:
-            yield done()
+            yield closed()
 
     return run
 
@@ -368,7 +377,7 @@ def write_ids(
     The manifest has one row per file: part and number (which order the files), file (its path),
     n_docs, n_ids and base, the ids in all files before. Each document is followed by the id
     ``end``; a null or empty text is that id alone. Null keys come first; rows that share a
-    key are all written, ordered by a hash of their ids and then by their place in the table.
+    key are all written, ordered by a hash of their text and then by their place in the table.
     An empty table gives no files. Keys of any type are kept; other columns are not looked at.
     ``bits`` is 1 for bit planes, 8 for byte planes. ``folder`` is a shared folder; without one
     it is made in the session's.
@@ -377,20 +386,19 @@ def write_ids(
         raise ValueError("planes hold one bit or eight")
     spark = docs.sparkSession
     folder = (folder or run_dir(spark, "ids")).rstrip("/")
-    kind = docs.schema[key].dataType.simpleString()
-    width = PieceEncoder(vocabulary).width
-    encoded = materialize(
-        docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text"))
-        .mapInArrow(_encode(vocabulary, end), f"_key {kind}, _n bigint, _ids binary")
-        .withColumn("_row", F.monotonically_increasing_id())
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col(f"`{key}`").alias("_key"), body.alias("_text"), F.xxhash64(body).alias("_hash"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    total = encoded.agg(F.sum("_n")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // file_ids))
+    size = planned_bytes(docs)
+    # Of a frame that is no table the planner knows no size.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES + 1 if size < 1 << 62 else 1)
     # The last two decide between rows of one key, so the ranges can cut a hot key as well.
-    order = [F.col("_key").asc_nulls_first(), F.xxhash64("_ids"), F.col("_row")]
+    order = [F.col("_key").asc_nulls_first(), F.col("_hash"), F.col("_row")]
     files = materialize(
-        encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("_key", "_n", "_ids")
-        .mapInArrow(_write(folder, width, bits, chunk_ids, file_ids),
+        small_batches(rows).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("_key", "_text")
+        .mapInArrow(_write(vocabulary, end, folder, bits, chunk_ids, file_ids),
                     "part int, number int, file string, n_docs bigint, n_ids bigint")
     )
     # One row per file: the only thing that is ordered in one task.
