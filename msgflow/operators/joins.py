@@ -17,6 +17,8 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 #: Rows of a key with just ``hot_rows`` that the sample for hot keys holds on average.
 SAMPLED = 400
+#: Hot keys up to which their table is broadcast.
+FEW_KEYS = 10_000
 
 
 def checked_join(
@@ -61,12 +63,16 @@ def salted_join(
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError("salted_join keeps the big side: use inner, left, left_semi or left_anti")
     on = list(on)
-    hot = materialize(hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True)))
-    n_hot = hot.limit(BROADCAST_ROWS + 1).count()
-    if n_hot == 0:
+    if big.count() <= hot_rows:
+        return big.join(unique, on, how)  # no key can be hot; a count reads no column
+    hot = hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True))
+    found = hot.limit(FEW_KEYS + 1).collect()
+    if not found:
         return big.join(unique, on, how)
-    if n_hot <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
+    if len(found) <= FEW_KEYS:
+        hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
+    else:
+        hot = materialize(hot)
     # The salt comes from the row and its map task, both stable when a lost task is
     # recomputed (a random salt is not); the task number spreads exact copies.
     other = [c for c in big.columns if big.schema[c].dataType.typeName() != "map"]

@@ -127,3 +127,17 @@ def test_bounded_read(make):
     ]
     with pytest.raises(ValueError):
         bounded_read(df, 0)
+
+
+def test_hot_keys_come_from_a_sample(spark, monkeypatch):
+    """A few rows of each key are counted; a key far over the bound is always found."""
+    from msgflow.operators import joins
+
+    monkeypatch.setattr(joins, "SAMPLED", 100)
+    big = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in joins.hot_keys(big, ["k"], 10_000).collect()] == [-1]
+    unique = spark.createDataFrame([(-1, "a"), (1, "b"), (2, "c")], "k long, w string")
+    for few in (10, 0):  # the hot keys as rows of the driver, and as a table
+        monkeypatch.setattr(joins, "FEW_KEYS", few)
+        out = salted_join(big, unique, ["k"], "left", hot_rows=10_000, salts=8)
+        assert out.count() == 60_000 and out.filter("w = 'a'").count() == 30_000 and out.filter("w = 'b'").count() == 1
