@@ -264,7 +264,7 @@ def stream_breaker(spark, sf_dir):
 #: A message is held for so long after its slice was written.
 HOLD_MS = 20_000
 #: Time that the query waits for the timers.
-RELEASE_S = 120
+RELEASE_S = 300
 
 
 @query(
