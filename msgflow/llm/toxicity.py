@@ -45,13 +45,13 @@ UNKNOWN = -4.0
 STRETCH = 64
 WORD = re.compile(r"\w+")
 #: Words a worker keeps the weight of before it starts a new generation, and the longest it keeps.
-KEPT, LONG_WORD = 150_000, 64
+KEPT, LONG_WORD = 75_000, 64
 #: Characters that are hashed by one numpy pass; longer words are passed in slices.
 SLICE = 1 << 18
 #: Bytes of text that go to the driver for training, at most.
 SAMPLE_BYTES = 48 << 20
 #: Characters of text whose words are looked up together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 FACTORS = spread_table(LONGEST, 41) | np.uint64(1)
 POWER = 0x9E3779B97F4A7C15
 SHIFT = np.uint64(64 - (BUCKETS - 1).bit_length())
