@@ -5,67 +5,73 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from msgflow.functions.headers import retry_time
-from msgflow.schema import IDENTITY, MESSAGE_SCHEMA
+from msgflow.schema import IDENTITY, LOG_KEY, MESSAGE_SCHEMA
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# What the state keeps of a message; headers travel as JSON text.
-_HELD = T.StructType(
+#: Offsets of a log partition whose messages, if they fall due together, are held under one key.
+BLOCK = 1_024
+#: Bytes beyond which a message has a key of its own.
+LARGE = 1 << 16
+
+# A held message; headers travel as JSON text.
+_OUT = T.StructType(
     [
+        *[MESSAGE_SCHEMA[c] for c in IDENTITY],
         T.StructField("timestamp_us", T.LongType()),
         T.StructField("headers_json", T.StringType()),
         T.StructField("payload", T.BinaryType()),
-        T.StructField("due_ms", T.LongType()),
     ]
 )
-_OUT = T.StructType([MESSAGE_SCHEMA[c] for c in IDENTITY] + list(_HELD))
+# What the state keeps: the rows of a key that came together, as one Arrow table.
+_HELD = T.StructType([T.StructField("rows", T.BinaryType())])
+_KEY = [*LOG_KEY, "due_ms", "block"]
+
+
+def _pack(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, to_arrow_schema(_OUT), preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_pandas()
 
 
 class _Holder(StatefulProcessor):
-    """Keeps a message that is not due yet; a timer at its retry time lets it go."""
+    """Keeps messages that are not due yet; the timer of their key, their retry time, lets them go."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getListState("held", _HELD)
 
-    @staticmethod
-    def _emit(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[_HELD.fieldNames()].reset_index(drop=True)
-        for name, value in zip(reversed(IDENTITY), reversed(key)):
-            rows.insert(0, name, value)
-        return rows
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now_ms = timerValues.getCurrentProcessingTimeInMs()
+        due_ms = int(key[_KEY.index("due_ms")])
+        late = due_ms <= timerValues.getCurrentProcessingTimeInMs()
         for frame in rows:
-            due = frame["due_ms"] <= now_ms
-            if due.any():
-                yield self._emit(key, frame[due])
-            later = frame[~due]
-            if len(later):
-                self.held.appendList(
-                    list(later[_HELD.fieldNames()].itertuples(index=False, name=None))
-                )
-                for at in later["due_ms"].unique():
-                    self.handle.registerTimer(int(at))
+            frame = frame[_OUT.fieldNames()]
+            if late:
+                yield frame
+            else:
+                self.held.appendValue((_pack(frame),))
+        if not late:
+            self.handle.registerTimer(due_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now_ms = timerValues.getCurrentProcessingTimeInMs()
-        held = [tuple(r) for r in self.held.get()] if self.held.exists() else []
-        due = [r for r in held if r[-1] <= now_ms]
-        later = [r for r in held if r[-1] > now_ms]
-        if later:
-            self.held.put(later)
-        else:
+        if self.held.exists():
+            for (packed,) in self.held.get():
+                yield _unpack(bytes(packed))
             self.held.clear()
-        if due:
-            yield self._emit(key, pd.DataFrame(due, columns=_HELD.fieldNames()))
 
     def close(self) -> None:
         pass
@@ -74,22 +80,28 @@ class _Holder(StatefulProcessor):
 def hold_until_due(retries: DataFrame, prefix: str = "mq.") -> DataFrame:
     """Stream of retry messages → the same messages, each emitted once its retry time has passed.
 
-    Messages due on arrival pass through in the JVM. The others wait in state keyed
-    by their identity, which no two messages share, so no key is hot. Needs the
-    RocksDB state store.
+    Messages due on arrival pass through in the JVM. The others wait in state under a key of
+    their log partition, retry time and block of ``BLOCK`` offsets: all rows of a key leave at one
+    timer, no key is hot, and a state call is made for each key rather than each message. A message of over
+    ``LARGE`` bytes has a key of its own, so a key stays within a few dozen MB. Needs the RocksDB state
+    store; state that was keyed by single messages cannot be read.
     """
     due_at = retry_time(F.col("headers"), prefix)
     columns = MESSAGE_SCHEMA.fieldNames()
     now = F.current_timestamp()
     ready = retries.filter(due_at.isNull() | (due_at <= now)).select(*columns)
-    waiting = retries.filter(due_at > now).select(
+    held = retries.filter(due_at > now).select(
         *IDENTITY,
         F.unix_micros("timestamp").alias("timestamp_us"),
         F.to_json("headers").alias("headers_json"),
         "payload",
         F.unix_millis(due_at).alias("due_ms"),
     )
-    released = waiting.groupBy(*IDENTITY).transformWithStateInPandas(
+    size = F.coalesce(F.octet_length("payload"), F.lit(0)) + F.coalesce(F.octet_length("headers_json"), F.lit(0))
+    # Numbers below 0 are those of single large messages.
+    block = F.when(size > LARGE, -1 - F.col("offset")).otherwise(F.expr(f"offset div {BLOCK}L"))
+    waiting = held.withColumn("block", block)
+    released = waiting.groupBy(*_KEY).transformWithStateInPandas(
         statefulProcessor=_Holder(), outputStructType=_OUT, outputMode="Append",
         timeMode="ProcessingTime",
     )

@@ -10,7 +10,7 @@ from msgflow import (
 )
 from msgflow.operators import audit, batching, breaker
 from msgflow.session import run_dir
-from msgflow.sources.sinks import kafka_rows, sink_options, write_dlq, write_retry
+from msgflow.sources.sinks import kafka_rows, sink_options, write_dlq, write_retry, write_rows
 from msgflow.sources.topics import read_log, stream_log
 from msgflow.streaming.runner import RunFolders, read_results, run_stream
 from msgflow.streaming.stateful import hold_until_due
@@ -445,3 +445,33 @@ def test_limits_of_a_stream(spark, make):
     assert len(counts) >= 3 and sum(r["count"] for r in counts) == 60
     with pytest.raises(ValueError):
         stream_log(spark, source, 1, max_bytes=1)
+
+
+def test_slow_slices_are_held_and_share_state_keys(spark, make):
+    from msgflow.plans.stream_queries import _await_rows, _released, due_later
+
+    source, folder = run_dir(spark, "slow"), run_dir(spark, "emitted")
+    rows = [{"offset": i, "partition": i % 2, "payload": b"x" * (100_000 if i == 8 else 3)} for i in range(400)]
+    make(rows).write.parquet(source)
+    time.sleep(3)  # longer than the hold: counted from the slice, all would be due on arrival
+    emitted = hold_until_due(due_later(stream_log(spark, source), hold_ms=2_500)).withColumn(
+        "emitted_ms", F.unix_millis(F.current_timestamp())
+    )
+    query = (
+        emitted.writeStream.foreachBatch(lambda batch, n: write_rows(batch, folder, n))
+        .option("checkpointLocation", folder + "-checkpoint").trigger(processingTime="500 milliseconds").start()
+    )
+    try:
+        count = lambda: _released(spark, folder)
+        _await_rows(query, count, 400, idle_s=60, poll_s=0.2)
+        states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    finally:
+        query.stop()
+    out = spark.read.parquet(folder).withColumn("taken", F.col("headers")["taken-ms"].cast("bigint")).collect()
+    assert sorted(r.offset for r in out) == list(range(400))
+    assert all((r.emitted_ms > r.taken) == (r.offset % 4 == 0) for r in out)
+    assert all(len(r.payload) == (100_000 if r.offset == 8 else 3) for r in out)
+    # One key, its timer and what Spark keeps with them, not 100 messages of them; the large one has its own.
+    assert 0 < max(states) < 20
+    with pytest.raises(RuntimeError, match="400 of 401"):
+        _await_rows(query, count, 401)
