@@ -18,6 +18,7 @@ from msgflow.operators.segments import (
     SEGMENT,
     TAG,
     as_start,
+    carried,
     chain_ends,
     first_reaching,
     fold_summaries,
@@ -150,7 +151,8 @@ def assign_batches(
 
     Timed out means ``timestamp - first row's timestamp >= timeout``. Greedy
     batching depends on all earlier rows, so it runs as a segment fold: only key,
-    order and time columns go through Python; payloads join the result by identity.
+    order and time columns go through Python; payloads join the result by identity, unless they are so
+    short that a segment of them is small (``carried``).
     Every row is in one batch, rows delivered twice as often as they come. A row
     without a time sorts before those with one and never times a batch out.
     """
@@ -160,8 +162,10 @@ def assign_batches(
     check_columns(df, [*by, *order, "timestamp"], "assign_batches")
     rows = tagged(settled(df), "timestamp")
     slim_columns = list(dict.fromkeys([*by, *order, "timestamp", TAG]))
-    segmented = with_segments(rows.select(*slim_columns), order, span, by)
-    slim = segmented.withColumn("_us", moment_us())
+    more = carried(rows, slim_columns, order, span, [BATCH_ID])
+    segmented = with_segments(rows.select(*slim_columns, *(more or [])), order, span, by)
+    whole = segmented.withColumn("_us", moment_us())
+    slim = whole.drop(*(more or []))
     keys = [*by, SEGMENT]
     sort_keys = [(c if c != "timestamp" else "_us", "ascending") for c in [*order, TAG]]
     identity = identity_of(by, order)
@@ -195,8 +199,9 @@ def assign_batches(
         inherit_schema,
     )
 
+    given = identity if more is None else df.columns
     numbered_schema = T.StructType(
-        [T.StructField(c, slim.schema[c].dataType) for c in identity]
+        [T.StructField(c, whole.schema[c].dataType) for c in given]
         + [T.StructField(BATCH_ID, T.LongType())]
     )
 
@@ -206,12 +211,12 @@ def assign_batches(
             micros(log.column("_us")), start.column("_entry")[0].as_py(),
             start.column("_batches")[0].as_py(), size, timeout_us,
         )
-        return pa.table({**{c: log.column(c) for c in identity}, BATCH_ID: ids})
+        return pa.table({**{c: log.column(c) for c in given}, BATCH_ID: ids})
 
     numbered = (
-        slim.groupBy(*keys).cogroup(inherited.groupBy(*keys)).applyInArrow(number, numbered_schema)
+        whole.groupBy(*keys).cogroup(inherited.groupBy(*keys)).applyInArrow(number, numbered_schema)
     )
-    return give_back(rows, numbered, identity)
+    return give_back(rows, numbered, identity) if more is None else numbered
 
 
 def tail_batch(

@@ -14,6 +14,7 @@ partition, so cutting it at every ``span`` offsets gives segments of at most
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import Optional
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ TAG = "_tag"
 #: Microseconds of a row without a time: before all times as a moment, after them as a start.
 #: So such a row sorts first among times, and a gap to or from it is never long enough.
 NO_TIME, NEVER = -(1 << 60), 1 << 60
+#: Bytes that the other columns of a segment may have to go through Python with its order columns.
+CARRIED_BYTES = 128 << 20
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -65,6 +68,29 @@ def give_back(df: DataFrame, results: DataFrame, identity: Sequence[str]) -> Dat
     )
 
 
+def carried(
+    df: DataFrame, narrow: Sequence[str], order: Sequence[str], span: int, added: Sequence[str],
+) -> Optional[list[str]]:
+    """Columns of ``df`` besides ``narrow`` that go through Python with them; None where they join the results.
+
+    They go along if ``span`` of the longest rows stay within ``CARRIED_BYTES``: then a segment stays
+    small whatever it holds, and rows are not moved and sorted a second time. Nested columns, and frames that have
+    a column which the operator adds, join.
+    """
+    others = [c for c in df.columns if c not in narrow]
+    kinds = [df.schema[c].dataType for c in others]
+    sized = (T.StringType, T.BinaryType)
+    fixed = (T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType)
+    if not _offset_like(df, order) or set(added) & set(df.columns) or not all(isinstance(k, sized + fixed) for k in kinds):
+        return None
+    width = F.lit(8 * len(others))
+    for c, kind in zip(others, kinds):
+        if isinstance(kind, sized):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    longest = df.agg(F.max(width)).first()[0] or 0
+    return others if longest * span <= CARRIED_BYTES else None
+
+
 def moment_us(column: str = "timestamp") -> Column:
     """Microseconds of a time column, ``NO_TIME`` where it is null."""
     return F.coalesce(F.unix_micros(column), F.lit(NO_TIME))

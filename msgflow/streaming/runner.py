@@ -39,13 +39,14 @@ from msgflow.operators.segments import DEFAULT_SPAN
 from msgflow.operators.strategies import (
     CircuitBreaker,
     ErrorStrategy,
+    FailFast,
     Retry,
     Skip,
     accepted_rows,
     apply_strategy,
     merge_routes,
 )
-from msgflow.schema import LOG_KEY
+from msgflow.schema import IDENTITY, LOG_KEY
 from msgflow.session import materialize
 from msgflow.sources.sinks import BATCH_FOLDER, write_dlq, write_retry, write_rows
 from msgflow.streaming.state import OutcomeLog, RunState, together
@@ -141,7 +142,7 @@ class StreamRun:
             if available_now
             else {"processingTime": f"{self.stream_policy.trigger_interval_ms} milliseconds"}
         )
-        source = with_clock(self.source) if self.batch_handler else self.source
+        source = with_clock(self._needed(self.source, "payload")) if self.batch_handler else self.source
         process = self._process_batches if self.batch_handler else self._process_messages
         self.query = (
             source.writeStream.foreachBatch(process)
@@ -172,12 +173,20 @@ class StreamRun:
             conf.unset(name) if before is None else conf.set(name, before)
         return not self.query.isActive
 
+    def _needed(self, df: DataFrame, *read: str) -> DataFrame:
+        """``df`` without what nothing reads after the handler: a strategy that hands no messages on needs no headers."""
+        kind = type(self.strategy)
+        if kind not in (Skip, FailFast) and not (kind is CircuitBreaker and self.strategy.policy.retry is None):
+            return df
+        kept = {*IDENTITY, "timestamp", "ok", "error", "next_step", *read, *self.keep}
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c in kept])
+
     # -- one micro-batch -----------------------------------------------------
 
     def _process_messages(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         log = OutcomeLog(spark, self.folders.log)
-        outcomes = log.once("outcomes", batch_id, lambda: apply_handler(batch, self.handler))
+        outcomes = log.once("outcomes", batch_id, lambda: self._needed(apply_handler(batch, self.handler)))
         if isinstance(self.strategy, CircuitBreaker):
             state = RunState(spark, self.folders.state)
             routed, pointer = self._breaker(outcomes, batch_id, state, log)
@@ -258,6 +267,8 @@ class StreamRun:
         as they are, before new rows join. Returns the pointer to what is remembered.
         """
         held = state.table("held", before)
+        if held is not None:
+            held = held.select(*rows.columns)  # a run may have kept more columns before
         keys = state.table("keys_flushed" if before.get("flushed") else "keys", before)
         overdue = None
         if late is not None:

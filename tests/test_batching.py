@@ -169,3 +169,20 @@ def test_first_reaching_in_unsorted_values():
         bound = rng.integers(0, 22, n)
         expected = [next((j for j in range(s, n) if values[j] >= b), n) for s, b in zip(start, bound)]
         assert list(first_reaching(values, start, bound)) == expected
+
+
+def test_short_payloads_go_along_and_long_ones_join(make):
+    rows = [{**r, "payload": b"x" * (i % 5)} for i, r in enumerate(random_log(5, 300, 4))]
+    rows += rows[:20]  # delivered twice
+    short = make(rows).drop("headers")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    taken = B.assign_batches(short, BatchPolicy(size=7, timeout_ms=9_000), span=64)
+    long = short.withColumn("payload", F.when(F.col("offset") == 3, F.expr("cast(repeat('y', 3000000) as binary)")).otherwise(F.col("payload")))
+    joined = B.assign_batches(long, BatchPolicy(size=7, timeout_ms=9_000), span=64)
+    # Rows are not moved, sorted and joined a second time where a segment of them is small.
+    assert "Join" not in plan(taken) and "Window" not in plan(taken)
+    assert "Join" in plan(joined)
+    seen = lambda df: sorted(tuple(r) for r in df.select("partition", "offset", "timestamp", "batch_id").collect())
+    assert taken.columns == [*short.columns, "batch_id"] and len(seen(taken)) == 320
+    assert seen(taken) == seen(joined)
+    assert sorted(bytes(r.payload) for r in taken.collect()) == sorted(r["payload"] for r in rows)

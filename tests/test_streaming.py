@@ -475,3 +475,15 @@ def test_slow_slices_are_held_and_share_state_keys(spark, make):
     assert 0 < max(states) < 20
     with pytest.raises(RuntimeError, match="400 of 401"):
         _await_rows(query, count, 401)
+
+
+def test_nothing_is_kept_of_messages_that_nobody_reads(spark, make):
+    source, folder = run_dir(spark, "slim"), run_dir(spark, "run")
+    make([{"offset": i, "headers": {"a": "b" * 50}} for i in range(9)]).write.parquet(source)
+    run_stream(stream_log(spark, source), folder, batch_handler=lambda p: None, batch_policy=BatchPolicy(size=4)).start().query.awaitTermination()
+    assert "headers" not in spark.read.parquet(RunFolders(folder).state + "/held").columns
+    folder = run_dir(spark, "run")
+    run_stream(stream_log(spark, source), folder, fails(), strategy=CircuitBreaker(BreakerPolicy(3)), keep=["headers"]).start().drain()
+    log = spark.read.parquet(RunFolders(folder).log + "/outcomes")
+    assert "payload" not in log.columns and "headers" in log.columns
+    assert {r.headers["a"] for r in outcomes_of(spark, folder).collect()} == {"b" * 50}
