@@ -22,6 +22,7 @@ from msgflow.operators.segments import (
     SEGMENT,
     TAG,
     as_start,
+    carried,
     chain_ends,
     earlier_segments,
     first_reaching,
@@ -50,6 +51,9 @@ INLINE_PROBES = 64
 #: In place of a failure count: the one that the breaker came with.
 KEPT = -1
 
+#: Columns that a replay adds.
+ADDED = ("state_before", "state_after", "failure_count", "success_count", "action", "fatal")
+
 STATE_SCHEMA = "state STRING, failure_count BIGINT, success_count BIGINT, last_change BIGINT"
 
 
@@ -379,14 +383,18 @@ def circuit_breaker(
     by, order = list(by), order_for(by)
     check_columns(df, [*by, *order, "timestamp", "ok"], "circuit_breaker")
     rows = tagged(settled(df), "timestamp", "ok")
+    keys, identity = [*by, SEGMENT], identity_of(by, order)
+    sort_keys = _log_order(order)
+    more = carried(rows, _slim_columns(by, order), order, span, ADDED)
     if inherited is None:
         inherited, slim = _inherited_breakers(rows, policy, by, order, span, initial)
     else:
         slim = _slim(rows, by, order, span)
-    keys, identity = [*by, SEGMENT], identity_of(by, order)
-    sort_keys = _log_order(order)
+    if more:
+        slim = _slim(rows, by, order, span, more)
+    given = identity if more is None else df.columns
     result_schema = T.StructType(
-        [T.StructField(c, slim.schema[c].dataType) for c in identity]
+        [T.StructField(c, slim.schema[c].dataType) for c in given]
         + [
             T.StructField("state_before", T.StringType()),
             T.StructField("state_after", T.StringType()),
@@ -404,7 +412,7 @@ def circuit_breaker(
         )
         return pa.table(
             {
-                **{c: log.column(c) for c in identity},
+                **{c: log.column(c) for c in given},
                 "state_before": pa.array(STATES).take(pa.array(done["before"])),
                 "state_after": pa.array(STATES).take(pa.array(done["after"])),
                 "failure_count": pa.array(done["failures"], pa.int64()),
@@ -415,16 +423,21 @@ def circuit_breaker(
 
     log = slim.groupBy(*keys).cogroup(inherited.groupBy(*keys)).applyInArrow(replay, result_schema)
     fatal = ["tripped", "rejected"] + ([] if policy.retry else ["reopened"])
-    return give_back(rows, log, identity).withColumn("fatal", F.col("action").isin(fatal))
+    results = give_back(rows, log, identity) if more is None else log
+    return results.withColumn("fatal", F.col("action").isin(fatal))
 
 
 def _log_order(order: Sequence[str]) -> list[tuple[str, str]]:
     return [(c if c != "timestamp" else "_us", "ascending") for c in [*order, TAG]]
 
 
-def _slim(df: DataFrame, by: Sequence[str], order: Sequence[str], span: int) -> DataFrame:
-    """What the breaker depends on, cut into segments."""
-    columns = list(dict.fromkeys([*by, *order, "timestamp", "ok", TAG]))
+def _slim_columns(by: Sequence[str], order: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys([*by, *order, "timestamp", "ok", TAG]))
+
+
+def _slim(df: DataFrame, by: Sequence[str], order: Sequence[str], span: int, more: Sequence[str] = ()) -> DataFrame:
+    """What the breaker depends on, and ``more`` columns, cut into segments."""
+    columns = [*_slim_columns(by, order), *more]
     return with_segments(df.select(*columns), order, span, by).withColumn("_us", moment_us())
 
 

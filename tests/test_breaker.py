@@ -264,3 +264,19 @@ def test_long_cooldowns_go_through_files(make, monkeypatch):
         mine, plain = key_rows(rows, p)
         expected, _ = loop(plain, policy)
         assert expected == [(r.state_before, r.state_after, r.failure_count, r.success_count, r.action) for r in mine]
+
+
+def test_short_errors_go_along_and_long_ones_join(make):
+    rng = random.Random(4)
+    pattern = [rng.choice("FFS") for _ in range(300)]
+    short = outcomes(make, pattern).select("topic", "partition", "offset", "timestamp", "ok", "error")
+    long = short.withColumn("error", F.when(F.col("offset") == 0, F.expr("repeat('e', 3000000)")).otherwise(F.col("error")))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    policy = BreakerPolicy(threshold=3, cooldown_ms=5_000)
+    taken, joined = (K.circuit_breaker(df, policy, span=64) for df in (short, long))
+    assert "Window" not in plan(taken) and "Window" in plan(joined)
+    added = [*K.ADDED]
+    assert taken.columns == [*short.columns, *added]
+    seen = lambda df: df.select("offset", "ok", F.col("timestamp"), *added).orderBy("offset").collect()
+    assert seen(taken) == seen(joined)
+    assert [r.error for r in taken.orderBy("offset").collect()] == [None if c == "S" else f"e{i}" for i, c in enumerate(pattern)]
