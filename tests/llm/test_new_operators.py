@@ -347,3 +347,20 @@ def test_combining_sends_one_row_of_a_hot_text():
     )
     out = pa.Table.from_batches(fa._combine(7)(iter([rows]))).to_pylist()
     assert sorted((r["bucket"] >= 0, r["id"], r["n"]) for r in out) == [(False, 0, 49), (True, 1, 1)]
+
+
+def test_state_of_the_audit_reserves_no_disk(spark, tmp_path):
+    import zipfile
+
+    from msgflow.llm.filter_audit import filter_audit
+
+    path, folder = str(tmp_path / "documents.parquet"), tmp_path / "audit"
+    spark.createDataFrame([(i, f"text {i % 7}", "web") for i in range(40)], "doc_id long, text string, source string").write.parquet(path)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert filter_audit(spark, path, labels, folder=str(folder)).count() == 600
+    options = []
+    for file in folder.rglob("*.zip"):
+        with zipfile.ZipFile(file) as archive:
+            options += [archive.read(n).decode() for n in archive.namelist() if n.startswith("OPTIONS")]
+    assert options and all("allow_fallocate=false" in o for o in options)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", None) is None
