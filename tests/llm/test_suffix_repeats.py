@@ -77,6 +77,36 @@ def test_kept_text(spark, keep_first):
         assert b"".join(b[lo:hi] for lo, hi in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(b)])) == kept
 
 
+def made_to_collide():
+    """Pairs of texts that share no 400 bytes, but a hash known beforehand: polynomial modulo 2^64, xxhash64."""
+    head = "".join(random.Random(7).choices("abcdefgh ", k=336))
+    sums = [head + "hberpgkvumezmbzkmrqrvubaunwkoosboocgzqgkrygtvelzvauajzdeoduvnbly",
+            head + "pvmatrqpnjwwiaqkawkxlfhadoiguupzpuawyspjmwlztpedmsyxtkopnpwbmzyw"]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,-"
+    body = "".join(random.Random(1).choices(letters, k=700))
+    lanes = [body[:320] + a + body[328:352] + b + body[360:] for a, b in (("uc ~:-]8", "AJ.SyZEB"), ('5Os!@KA"', "AJ.SYqEf"))]
+    return {"contexts": sums, "strings": [sums[0] + "a", sums[1] + "b"], "texts": lanes}
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("kind,group", [("contexts", 2000), ("strings", 1), ("texts", 2000)])
+def test_made_collisions_remove_nothing(spark, kind, group, keep_first):
+    texts = made_to_collide()[kind]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(sr.repeated_bytes(df, group=group, keep_first=keep_first).collect())
+    assert [(*g[1:5], [tuple(x) for x in g[5]]) for g in got] == brute(texts, keep_first)
+    assert [g.n_removed for g in got] == [0, 0]
+
+
+def test_marks_tell_strings_as_their_bytes_do():
+    r = random.Random(8)
+    data = np.frombuffer("".join(r.choice(["ab" * 300, "abc" * 200, "a" * 450]) for _ in range(20)).encode(), np.uint8)
+    for key in (b"", b"run"):
+        marks = sr.string_marks(data, key).tolist()
+        strings = [data[i : i + 400].tobytes() for i in range(len(data) - 399)]
+        assert len(marks) == len(strings) and len(set(marks)) == len(set(strings)) == len(set(zip(marks, strings)))
+
+
 def test_first_copies_stay_once(spark):
     t = "".join(random.Random(6).choices("abcdefgh ", k=800))
     df = spark.createDataFrame([(5, t), (5, t), (3, t), (None, "a" + t), (9, t[100:] + "end")], "doc_id long, text string")
